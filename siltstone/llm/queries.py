@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from siltstone.llm import encode, topk
+from siltstone.llm import encode, packing, tokenout, topk
 from siltstone.llm.common import load
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,13 +35,25 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = load(spark, sf_dir, "documents", "doc_id", "text")
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.pack_documents(documents, path, public_tokenizers.PATTERN, end_id=2, capacity=1024)
+
+
+def op9_token_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = load(spark, sf_dir, "documents", "doc_id", "text")
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return tokenout.packed_sequences(documents, path, public_tokenizers.PATTERN, end_id=50_256, capacity=1024)
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     documents = load(spark, sf_dir, "documents", "doc_id", "text")
     return encode.round_trip_digests(documents, path, public_tokenizers.PATTERN, "doc_id", "text")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_exact_topk, op10_byte_bpe)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_exact_topk, op2_best_fit_packing, op9_token_matrices, op10_byte_bpe)}
 SQL: dict[str, str] = {"op1_exact_topk": OP1_SQL}
 
 

@@ -1,0 +1,131 @@
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers as P
+import pytest
+
+from siltstone.llm import packing, tokenout
+from siltstone.llm.tokens import Reader
+
+PATH = P.path("byte_bpe_50k.json")
+TEXTS = [None, "", "a", "Hello world", "x y " * 3000, "<|endoftext|> \n\n\n  q", "é漢🙂 " * 50, " " * 3000, "word " * 1023, "word " * 1022]
+
+
+@pytest.fixture(scope="module")
+def documents(spark):
+    rng = random.Random(2)
+    more = [" ".join(rng.choices(["alpha", "beta", "the", "of", "zzz"], k=rng.randrange(1, 900))) for _ in range(150)]
+    rows = [(i, t, "s") for i, t in enumerate(TEXTS + more)] + [(3, "Hello world", "s"), (None, "no id", "s")]
+    return spark.createDataFrame(rows, "doc_id long, text string, length string").repartition(3)
+
+
+def streams(documents, end):
+    library = Reader(PATH, None)
+    return sorted((r.doc_id if r.doc_id is not None else -1, packing.stream(library.ids(r.text), end).tobytes()) for r in documents.collect())
+
+
+def test_fast_ids_are_those_of_the_library():
+    fast = Reader(PATH, P.PATTERN)
+    for text in [t for t in TEXTS if t] + ["  \n \t x" * 100, "1234567 'll're", "  a", "á" * 20]:
+        assert fast.ids(text).tolist() == fast.ids_by_library(text).tolist()
+
+
+def test_very_long_white_space():
+    text = "a" + " " * 2_000_000 + "b"
+    assert Reader(PATH, P.PATTERN).ids(text).tolist() == Reader(PATH, None).ids(text).tolist()
+
+
+@pytest.mark.parametrize("open_bins", [1, 4, 2048])
+def test_packing_is_gapless_and_lossless(documents, open_bins):
+    rows = packing.pack_documents(documents, PATH, P.PATTERN, 2, 1024, open_bins=open_bins, per_packer=64).collect()
+    library = Reader(PATH, None)
+    want = sorted(
+        (-1 if r.doc_id is None else r.doc_id, k, start, length, zlib.crc32(whole[start : start + length]))
+        for r in documents.collect()
+        for whole in [packing.stream(library.ids(r.text), 2)]
+        for k, (start, length) in enumerate(packing.cuts(len(whole), 1024))
+    )
+    assert sorted((-1 if r.doc_id is None else r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows) == want
+    sequences = {}
+    for r in rows:
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for members in sequences.values():
+        at = 0
+        for offset, length in sorted(members):
+            assert offset == at
+            at += length
+        assert at <= 1024
+    if open_bins > 4:
+        assert len(sequences) <= -(-sum(r.length for r in rows) // 1024) * 1.1 + 4
+
+
+def test_open_bins_against_a_plain_list():
+    rng = random.Random(4)
+    bins, plain = packing.OpenBins(100, 5), []
+    for _ in range(2000):
+        length = rng.randrange(1, 101)
+        fitting = [f for f, _ in plain if f >= length]
+        chosen, offset = bins.place(length)
+        if fitting:
+            free = min(fitting)
+            plain.remove((free, chosen))
+        else:
+            free = 100
+        assert offset == 100 - free
+        if free > length:
+            plain.append((free - length, chosen))
+            if len(plain) > 5:
+                fullest = min(plain)[0]
+                closed = [b for b in plain if b[0] == fullest and b[1] not in sum(bins.by_free, [])]
+                assert len(closed) == 1
+                plain.remove(closed[0])
+
+
+def test_cuts():
+    assert packing.cuts(1024, 1024) == [(0, 1024)]
+    assert packing.cuts(2048, 1024) == [(0, 1024), (1024, 1024)]
+    assert packing.cuts(1030, 1024) == [(0, 6), (6, 1024)]
+
+
+def test_capacity_tree_against_a_plain_search():
+    rng = random.Random(6)
+    lengths = [rng.randrange(1, 101) for _ in range(500)] + [100, 100, 1]
+    plain = []
+    for i in sorted(range(len(lengths)), key=lambda i: -lengths[i]):
+        free = [100 - sum(lengths[j] for j in b) for b in plain]
+        fits = [f for f in free if f >= lengths[i]]
+        if fits:
+            plain[free.index(min(fits))].append(i)
+        else:
+            plain.append([i])
+    found = tokenout.best_fit_decreasing(lengths, 100)
+    assert len(found) == len(plain)
+    assert sorted(i for b in found for i in b) == list(range(len(lengths)))
+    assert sorted(sum(lengths[i] for i in b) for b in found) == sorted(sum(lengths[i] for i in b) for b in plain)
+
+
+def test_token_matrices_round_trip(spark, documents, tmp_path):
+    sequences = tokenout.packed_sequences(documents, PATH, P.PATTERN, 50256)
+    parts = {}
+    for r in tokenout.restored_streams(sequences).collect():
+        parts.setdefault(-1 if r.doc_id is None else r.doc_id, []).append((r.start, bytes(r.ids)))
+    for doc_id, whole in streams(documents, 50256):
+        ids = np.frombuffer(whole, "<u4").astype("<u2").tobytes()
+        got = b"".join(ids for _, ids in sorted(set(parts[doc_id])))
+        assert got == ids
+    for r in sequences.collect():
+        positions = np.frombuffer(r.position_ids, "<u2")
+        assert r.cu_seqlens[0] == 0 and r.cu_seqlens[-1] == r.n_tokens <= 1024
+        for a, b in zip(r.cu_seqlens, r.cu_seqlens[1:]):
+            assert positions[a:b].tolist() == list(range(b - a))
+    tokenout.write_matrices(sequences, str(tmp_path / "m"), rows_per_block=16)
+    blocks = spark.read.parquet(str(tmp_path / "m")).collect()
+    assert sum(b.n_rows for b in blocks) == sequences.count()
+    assert all(len(b.input_ids) == b.n_rows * 2048 for b in blocks)
+
+
+def test_empty_table(documents):
+    none = documents.limit(0)
+    assert packing.pack_documents(none, PATH, P.PATTERN, 2).collect() == []
+    assert tokenout.packed_sequences(none, PATH, P.PATTERN, 50256).collect() == []
