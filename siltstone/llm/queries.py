@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from siltstone.llm import encode, langid, packing, tokenout, topk
+from siltstone.llm import encode, langid, packing, quality, tokenout, topk
 from siltstone.llm.common import load
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,10 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify_languages(load(spark, sf_dir, "documents", "doc_id", "text", "lang"))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(load(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op9_token_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = load(spark, sf_dir, "documents", "doc_id", "text")
     path = public_tokenizers.path("byte_bpe_50k.json")
@@ -57,7 +61,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode.round_trip_digests(documents, path, public_tokenizers.PATTERN, "doc_id", "text")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_exact_topk, op2_best_fit_packing, op7_language, op9_token_matrices, op10_byte_bpe)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_exact_topk, op2_best_fit_packing, op7_language, op8_quality, op9_token_matrices, op10_byte_bpe)}
 SQL: dict[str, str] = {"op1_exact_topk": OP1_SQL}
 
 
