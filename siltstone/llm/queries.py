@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from siltstone.llm import encode, langid, packing, quality, tokenout, topk
+from siltstone.llm import encode, langid, minhash, packing, quality, tokenout, topk
 from siltstone.llm.common import load
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +41,11 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents, path, public_tokenizers.PATTERN, end_id=2, capacity=1024)
 
 
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = load(spark, sf_dir, "documents", "doc_id", "text")
+    return minhash.near_duplicates(documents, width=2, percent=80)
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify_languages(load(spark, sf_dir, "documents", "doc_id", "text", "lang"))
 
@@ -61,7 +66,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode.round_trip_digests(documents, path, public_tokenizers.PATTERN, "doc_id", "text")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_exact_topk, op2_best_fit_packing, op7_language, op8_quality, op9_token_matrices, op10_byte_bpe)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_exact_topk, op2_best_fit_packing, op6_near_duplicates, op7_language, op8_quality, op9_token_matrices, op10_byte_bpe)}
 SQL: dict[str, str] = {"op1_exact_topk": OP1_SQL}
 
 
