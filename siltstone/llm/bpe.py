@@ -1,9 +1,9 @@
 """Byte-level BPE encoding and decoding with a hierarchical-bitmap rank queue.
 
 A pre-token starts as a linked list of its bytes. Every neighbouring pair that the ranks know waits in the bucket of
-its rank. Which buckets hold something is kept in a hierarchy of bitmaps with 64-way fan-out, so the next rank is found
-by a find-first-set on each level. A bucket hands out its leftmost position first; an entry whose pair has changed
-since it was queued is stale and skipped. A pre-token of n bytes takes O(n) queue operations, whatever its length.
+its rank. Which buckets hold something is kept in a hierarchy of two bitmaps: words of as many bits as the root of the
+number of ranks, and one word that says which of them aren't zero. A find-first-set on each level finds the next rank.
+A bucket hands out its leftmost position first; an entry whose pair has changed since it was queued is stale and skipped. A pre-token of n bytes takes O(n) queue operations, whatever its length.
 
 Pre-tokens repeat, so the ids of short ones are kept in a cache of bounded size. Long ones never enter it.
 
@@ -19,66 +19,10 @@ from itertools import chain
 
 import regex
 
-#: Bits in a word of the bitmaps.
-FANOUT = 64
 #: Pre-tokens of more bytes are encoded anew each time; the cache is emptied when it holds this many.
 CACHED_BYTES, CACHED_ENTRIES = 64, 400_000
 
 
-class RankQueue:
-    """A priority queue of positions by merge rank: buckets below bitmaps."""
-
-    def __init__(self, n_ranks: int) -> None:
-        self.levels: list[list[int]] = []
-        size = n_ranks
-        while True:
-            size = -(-size // FANOUT)
-            self.levels.append([0] * size)
-            if size <= 1:
-                break
-        self.buckets: dict[int, list[int]] = {}
-        self.unsorted: set[int] = set()
-
-    def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket is not None:
-            bucket.append(position)
-            self.unsorted.add(rank)
-            return
-        self.buckets[rank] = [position]
-        at = rank
-        for level in self.levels:
-            word, bit = at >> 6, 1 << (at & 63)
-            before = level[word]
-            level[word] = before | bit
-            if before:
-                break
-            at = word
-
-    def pop(self) -> tuple[int, int] | None:
-        """The leftmost position of the smallest rank, or None."""
-        at = 0
-        for level in reversed(self.levels):
-            word = level[at]
-            if not word:
-                return None
-            at = (at << 6) | ((word & -word).bit_length() - 1)
-        bucket = self.buckets[at]
-        if at in self.unsorted:
-            bucket.sort(reverse=True)
-            self.unsorted.discard(at)
-        position = bucket.pop()
-        if not bucket:
-            del self.buckets[at]
-            up = at
-            for level in self.levels:
-                level[up >> 6] &= ~(1 << (up & 63))
-                if level[up >> 6]:
-                    break
-                up >>= 6
-        return at, position
-
-
 class _Cache(dict):
     """Ids by pre-token; a missing one is encoded."""
 
@@ -103,7 +47,10 @@ class Codec:
         self.ranks = ranks
         self.split = regex.compile(pattern).findall
         self.bytes_of = {rank: token for token, rank in ranks.items()}
-        self.queue = RankQueue(max(ranks.values(), default=0) + 1)
+        #: Bits of a rank that choose the bit within a word; those above choose the word.
+        self.low = -(-max(ranks.values(), default=1).bit_length() // 2)
+        self.words = [0] * ((max(ranks.values(), default=0) >> self.low) + 1)
+        self.bit = [1 << i for i in range(max(1 << self.low, len(self.words)))]
         self.cache = _Cache(self)
 
     @classmethod
@@ -124,36 +71,68 @@ class Codec:
         whole = ranks.get(data)
         if whole is not None:
             return [whole]
-        n, queue = len(data), self.queue
-        known, push = ranks.get, queue.push
+        n, known, low, bit, words = len(data), ranks.get, self.low, self.bit, self.words
+        mask, summary = (1 << low) - 1, 0  # summary: the words that aren't zero
+        buckets: dict[int, list[int]] = {}
+        unsorted = set()
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         waiting = [-1] * n  # rank of the pair that starts here; -1 for none, and for nodes that are gone
         for i in range(n - 1):
             rank = known(data[i : i + 2])
             if rank is not None:
                 waiting[i] = rank
-                push(rank, i)
-        while (entry := queue.pop()) is not None:
-            rank, left = entry
+                if rank in buckets:
+                    buckets[rank].append(i)
+                    unsorted.add(rank)
+                else:
+                    buckets[rank] = [i]
+                    word = rank >> low
+                    words[word] |= bit[rank & mask]
+                    summary |= bit[word]
+        while summary:
+            word = (summary & -summary).bit_length() - 1
+            held = words[word]
+            rank = word << low | (held & -held).bit_length() - 1
+            bucket = buckets[rank]
+            if rank in unsorted:
+                bucket.sort(reverse=True)
+                unsorted.discard(rank)
+            left = bucket.pop()
+            if not bucket:
+                del buckets[rank]
+                held &= held - 1
+                words[word] = held
+                if not held:
+                    summary &= summary - 1
             if waiting[left] != rank:
                 continue  # stale
             right = after[left]
             end = after[right]
             after[left] = end
-            waiting[right] = -1
-            waiting[left] = -1
+            waiting[right] = waiting[left] = -1
+            changed = (left,)
             if end < n:
                 before[end] = left
-                pair = known(data[left : after[end]])
-                if pair is not None:
-                    waiting[left] = pair
-                    push(pair, left)
             prior = before[left]
             if prior >= 0:
-                pair = known(data[prior:end])
-                waiting[prior] = -1 if pair is None else pair
-                if pair is not None:
-                    push(pair, prior)
+                changed = (prior, left)
+            for start in changed:
+                then = after[start]
+                if then == n:
+                    continue
+                rank = known(data[start : after[then]])
+                if rank is None:
+                    waiting[start] = -1
+                    continue
+                waiting[start] = rank
+                if rank in buckets:
+                    buckets[rank].append(start)
+                    unsorted.add(rank)
+                else:
+                    buckets[rank] = [start]
+                    word = rank >> low
+                    words[word] |= bit[rank & mask]
+                    summary |= bit[word]
         out, at = [], 0
         while at < n:
             out.append(ranks[data[at : after[at]]])
