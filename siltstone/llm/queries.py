@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from siltstone.llm import encode, langid, minhash, packing, quality, tokenout, topk
+from siltstone.llm import encode, langid, minhash, packing, quality, tokenout, topk, urls
 from siltstone.llm.common import load
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +41,77 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents, path, public_tokenizers.PATTERN, end_id=2, capacity=1024)
 
 
+#: Fixed values of the contract.
+RULES = (
+    urls.Rule("allow", "org", "/"),
+    urls.Rule("block", "example.org", "/es/"),
+    urls.Rule("block", "example.org", "/en/1"),
+    urls.Rule("allow", "com", "/fr/"),
+    urls.Rule("block", "com", "/de/"),
+)
+
+
+def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge_urls(load(spark, sf_dir, "pages", "page_id", "url", "html"), RULES)
+
+
+OP4_SQL = r"""
+WITH RECURSIVE rules(verdict, host, path) AS (
+  VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
+         ('allow', 'com', '/fr/'), ('block', 'com', '/de/')
+), found AS (
+  SELECT url, unnest(list_concat(
+    list_transform(list_filter(regexp_extract_all(html, '(?i)<link\b[^>]*>'),
+      lambda t: regexp_matches(t, '(?i)\srel\s*=\s*["'']?canonical\b')),
+      lambda t: regexp_extract(t, '(?i)\shref\s*=\s*["'']?([^"''\s>]+)', 1)),
+    list_transform(list_filter(regexp_extract_all(html, '(?i)<meta\b[^>]*>'),
+      lambda t: regexp_matches(t, '(?i)\shttp-equiv\s*=\s*["'']?refresh\b')),
+      lambda t: regexp_extract(t, '(?i);\s*url\s*=\s*[''"]?([^"''\s>]+)', 1)))) AS target
+  FROM pages WHERE contains(url, '://') AND html IS NOT NULL
+), parts AS (
+  SELECT *, regexp_extract(url, '^(.*?://[^/?#]*)', 1) AS root,
+         regexp_extract(url, '^(.*?://[^/?#]*(?:[^?#]*/)?)', 1) AS folder
+  FROM found WHERE target <> ''
+), whole AS (
+  SELECT url, CASE WHEN contains(target, '://') THEN target
+    WHEN starts_with(target, '//') THEN regexp_extract(url, '^(.*?:)//', 1) || target
+    WHEN starts_with(target, '/') THEN root || target
+    ELSE folder || CASE WHEN folder = root THEN '/' ELSE '' END || target END AS target
+  FROM parts
+), nodes AS (
+  SELECT lower(regexp_extract(url, '^(.*?://[^/?#]*)', 1)) || regexp_extract(url, '://[^/?#]*([^#]*)', 1) AS a,
+         lower(regexp_extract(target, '^(.*?://[^/?#]*)', 1)) || regexp_extract(target, '://[^/?#]*([^#]*)', 1) AS b
+  FROM whole
+), edges AS (
+  SELECT a, b FROM nodes WHERE a <> b UNION SELECT b, a FROM nodes WHERE a <> b
+), reach AS (
+  SELECT a AS node, a AS other FROM edges UNION SELECT r.node, e.b FROM reach r JOIN edges e ON r.other = e.a
+), others AS (
+  SELECT DISTINCT other, lower(regexp_extract(other, '://([^/?#]*)', 1)) AS host,
+         regexp_extract(other, '://[^/?#]*([^?#]*)', 1) AS path FROM reach
+), other_rule AS (
+  SELECT o.other, arg_max(r.verdict, length(r.host || r.path) * 2 + CAST(r.verdict = 'allow' AS INTEGER)) AS verdict
+  FROM others o JOIN rules r ON (o.host = r.host OR ends_with(o.host, '.' || r.host)) AND starts_with(o.path, r.path)
+  GROUP BY o.other
+), spread AS (
+  SELECT node FROM reach LEFT JOIN other_rule USING (other) GROUP BY node
+  HAVING count(*) FILTER (WHERE verdict = 'block') > 0 AND count(*) FILTER (WHERE verdict = 'allow') = 0
+), own AS (
+  SELECT row_number() OVER () AS k, page_id, coalesce(lower(regexp_extract(url, '://([^/?#]*)', 1)), '') AS host,
+         coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path,
+         lower(regexp_extract(url, '^(.*?://[^/?#]*)', 1)) || regexp_extract(url, '://[^/?#]*([^#]*)', 1) AS node
+  FROM pages
+), own_rule AS (
+  SELECT o.k, arg_max(r.host || r.path, length(r.host || r.path) * 2 + CAST(r.verdict = 'allow' AS INTEGER)) AS rule,
+         arg_max(r.verdict, length(r.host || r.path) * 2 + CAST(r.verdict = 'allow' AS INTEGER)) AS verdict
+  FROM own o JOIN rules r ON (o.host = r.host OR ends_with(o.host, '.' || r.host)) AND starts_with(o.path, r.path)
+  GROUP BY o.k
+)
+SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN s.node IS NOT NULL THEN 'block' END, 'allow') AS verdict
+FROM own LEFT JOIN own_rule USING (k) LEFT JOIN spread s ON own.node = s.node
+"""
+
+
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = load(spark, sf_dir, "documents", "doc_id", "text")
     return minhash.near_duplicates(documents, width=2, percent=80)
@@ -66,8 +137,8 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode.round_trip_digests(documents, path, public_tokenizers.PATTERN, "doc_id", "text")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_exact_topk, op2_best_fit_packing, op6_near_duplicates, op7_language, op8_quality, op9_token_matrices, op10_byte_bpe)}
-SQL: dict[str, str] = {"op1_exact_topk": OP1_SQL}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_exact_topk, op2_best_fit_packing, op4_url_filters, op6_near_duplicates, op7_language, op8_quality, op9_token_matrices, op10_byte_bpe)}
+SQL: dict[str, str] = {"op1_exact_topk": OP1_SQL, "op4_url_filters": OP4_SQL}
 
 
 def queries() -> dict[str, Query]:

@@ -1,0 +1,86 @@
+import random
+import re
+
+from siltstone.llm.queries import RULES
+from siltstone.llm.urls import Rule, judge_urls
+
+
+def split(url):
+    m = re.search(r"://([^/?#]*)([^?#]*)", url or "", re.S)
+    lower = lambda s: "".join(c.lower() if "A" <= c <= "Z" else c for c in s)
+    return (lower(m[1]), m[2]) if m else ("", "")
+
+
+def own_rule(url, rules):
+    host, path = split(url)
+    fits = [r for r in rules if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
+    return max(fits, key=lambda r: (len(r.text), r.verdict == "allow"), default=None)
+
+
+def test_rules(spark):
+    urls = [
+        None, "", "nothing", "http://", "https://Example.ORG/es/x", "http://a.example.org/en/1?q", "http://example.org/en/2",
+        "ftp://org/x#y", "http://xorg/es/", "https://m.example.com/fr/1/", "http://example.com/de/1", "http://com/de/", "http://example.net/de/",
+        "http://example.org?x=/es/", "x://y://z.org/", "http://example.org:80/es/", "http://ÉX.com/fr/",
+    ]
+    df = spark.createDataFrame([(i, u, None, "r") for i, u in enumerate(urls)] + [(4, urls[4], None, "r")], "page_id long, url string, html string, rule string")
+    got = sorted((r.page_id, r.host, r.path, r.rule, r.verdict) for r in judge_urls(df, RULES).collect())
+    want = []
+    for i, u in [*enumerate(urls), (4, urls[4])]:
+        r = own_rule(u, RULES)
+        want.append((i, *split(u), r and r.text, r.verdict if r else "allow"))
+    assert got == sorted(want)
+    assert judge_urls(df.limit(0), RULES).collect() == []
+
+
+def test_longest_rule_and_allow_before_block(spark):
+    rules = [Rule("block", "a.b", "/"), Rule("allow", "b", "/xx"), Rule("block", "b", "/xy"), Rule("allow", "a.b", "/")]
+    df = spark.createDataFrame([(1, "http://a.b/xy", ""), (2, "http://c.b/xy", ""), (3, "http://c.b/xx", "")], "page_id long, url string, html string")
+    assert sorted((r.page_id, r.rule, r.verdict) for r in judge_urls(df, rules).collect()) == [
+        (1, "a.b/", "allow"), (2, "b/xy", "block"), (3, "b/xx", "allow"),
+    ]
+
+
+def test_decisions_reach_aliases(spark):
+    rng = random.Random(2)
+    tag = {
+        0: '<LINK href="%s" rel="canonical">', 1: "<link rel=canonical href=%s />", 2: '<meta http-equiv="refresh" content="0; url=%s">',
+        3: "<link rel='stylesheet' href='%s'>",
+    }
+    urls = [f"http://h{k}.net/p{k}" for k in range(60)] + ["https://x.com/de/1", "https://y.com/de/2", "https://z.com/fr/3"]
+    rows, edges = [], []
+    for i, u in enumerate(urls * 2):
+        target, kind = rng.choice(urls + ["http://gone.com/de/9", "http://gone.org/"]), rng.choice([0, 1, 2, 3, 3, 3, 3])
+        if rng.random() < 0.5:
+            rows.append((i, u + "#top", f"<html>{tag[kind] % target}<p>canonical</p>"))
+            edges += [(u, target)] if kind != 3 else []
+        else:
+            rows.append((i, u, None))
+    rows += [(900, "http://h1.net/dir/a?x", '<link rel="canonical" href="b">'), (901, "http://h1.net/dir/b", ""), (902, "http://h2.net", '<link rel="canonical" href="/c"><meta http-equiv=refresh content="1;URL=//gone.com/de/9">'), (903, "http://h2.net/c", "")]
+    edges += [("http://h1.net/dir/a?x", "http://h1.net/dir/b"), ("http://h2.net", "http://h2.net/c"), ("http://h2.net", "http://gone.com/de/9")]
+    parent = {}
+
+    def root(i):
+        parent.setdefault(i, i)
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for a, b in edges:
+        parent[root(a)] = root(b)
+    seen = {}
+    for n in list(parent):
+        r = own_rule(n, RULES)
+        seen.setdefault(root(n), set()).add(r and r.verdict)
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.verdict for r in judge_urls(df, RULES).collect()}
+    for i, u, _ in rows:
+        own, group = own_rule(u, RULES), seen.get(root(u.split("#")[0]), set())
+        want = own.verdict if own else "block" if "block" in group and "allow" not in group else "allow"
+        assert got[i] == want, (i, u)
+    assert "block" in got.values() and got[903] == "block"
+
+
+def test_no_python(spark, sf_dir):
+    plan = judge_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"), RULES)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
