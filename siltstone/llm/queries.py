@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from siltstone.llm import encode, langid, minhash, packing, quality, tokenout, topk, urls
+from siltstone.llm import encode, langid, minhash, packing, pii, quality, tokenout, topk, urls
 from siltstone.llm.common import load
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -112,6 +112,10 @@ FROM own LEFT JOIN own_rule USING (k) LEFT JOIN spread s ON own.node = s.node
 """
 
 
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digests(pii.find_personal_data(load(spark, sf_dir, "documents", "doc_id", "text")))
+
+
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = load(spark, sf_dir, "documents", "doc_id", "text")
     return minhash.near_duplicates(documents, width=2, percent=80)
@@ -137,7 +141,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode.round_trip_digests(documents, path, public_tokenizers.PATTERN, "doc_id", "text")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_exact_topk, op2_best_fit_packing, op4_url_filters, op6_near_duplicates, op7_language, op8_quality, op9_token_matrices, op10_byte_bpe)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_exact_topk, op2_best_fit_packing, op4_url_filters, op5_personal_data, op6_near_duplicates, op7_language, op8_quality, op9_token_matrices, op10_byte_bpe)}
 SQL: dict[str, str] = {"op1_exact_topk": OP1_SQL, "op4_url_filters": OP4_SQL}
 
 
