@@ -12,12 +12,19 @@ SPACE_CLASS = r"[\x20\x09-\x0D]"
 SPACE_CHARS = " \t\n\x0b\x0c\r"
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Compute df once into the shared checkpoint folder, so that its lineage ends there and lost executors cost
-    only a reread. The folder is the session's spark.checkpoint.dir; one is made only where that is unset (tests)."""
-    sc = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder that driver and executors share: the session's spark.checkpoint.dir. One is made only
+    where that is unset, as in tests."""
+    sc = spark.sparkContext
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="siltstone-"))
+    return sc.getCheckpointDir()
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Compute df once into the shared checkpoint folder, so that its lineage ends there and lost executors cost
+    only a reread."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

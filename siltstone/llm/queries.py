@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from siltstone.llm import encode, langid, minhash, packing, pii, quality, tokenout, topk, urls
+from siltstone.llm import encode, langid, lines, minhash, packing, pii, quality, tokenout, topk, urls
 from siltstone.llm.common import load
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +42,36 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents, path, public_tokenizers.PATTERN, end_id=2, capacity=1024)
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = load(spark, sf_dir, "documents", "doc_id", "text", "source")
+    cleaned = lines.drop_boilerplate(documents, host="source", text="text")
+    n_lines, n_dropped = F.col("__n_lines").alias("n_lines"), F.col("__n_dropped").alias("n_dropped")
+    return cleaned.select("doc_id", n_lines, n_dropped, F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
+OP3_SQL = r"""
+WITH space AS (SELECT ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) AS s),
+docs AS (SELECT row_number() OVER () AS k, doc_id, text, source FROM documents),
+cut AS (SELECT k, source, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM docs),
+line AS (SELECT k, source, line, i, trim(line, s) AS key FROM cut, space),
+total AS (SELECT source, count(*) AS pages FROM docs GROUP BY source),
+seen AS (SELECT source, key, count(DISTINCT k) AS n FROM line WHERE key <> '' GROUP BY source, key),
+bad AS (
+  SELECT seen.source, key FROM seen JOIN total ON seen.source IS NOT DISTINCT FROM total.source
+  WHERE n >= 3 AND n > pages * CAST(0.1 AS DOUBLE)
+), judged AS (
+  SELECT line.k, line.line, i, line.key, bad.key IS NOT NULL AS dropped
+  FROM line LEFT JOIN bad ON line.key = bad.key AND line.source IS NOT DISTINCT FROM bad.source
+), page AS (
+  SELECT k, count(*) FILTER (WHERE key <> '') AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
+         coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT dropped), '') AS clean
+  FROM judged GROUP BY k
+)
+SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped,
+       CASE WHEN text IS NOT NULL THEN md5(clean) END AS text_md5
+FROM docs LEFT JOIN page USING (k)
+"""
+
 #: Fixed values of the contract.
 RULES = (
     urls.Rule("allow", "org", "/"),
@@ -141,8 +172,8 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode.round_trip_digests(documents, path, public_tokenizers.PATTERN, "doc_id", "text")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_exact_topk, op2_best_fit_packing, op4_url_filters, op5_personal_data, op6_near_duplicates, op7_language, op8_quality, op9_token_matrices, op10_byte_bpe)}
-SQL: dict[str, str] = {"op1_exact_topk": OP1_SQL, "op4_url_filters": OP4_SQL}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_exact_topk, op2_best_fit_packing, op3_line_dedup, op4_url_filters, op5_personal_data, op6_near_duplicates, op7_language, op8_quality, op9_token_matrices, op10_byte_bpe)}
+SQL: dict[str, str] = {"op1_exact_topk": OP1_SQL, "op3_line_dedup": OP3_SQL, "op4_url_filters": OP4_SQL}
 
 
 def queries() -> dict[str, Query]:
