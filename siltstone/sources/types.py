@@ -71,7 +71,7 @@ def read_cast(value: Column, have: T.DataType, want: T.DataType | None, column:
     if isinstance(have, nested) or isinstance(want, nested):
         raise TypeMismatch(f"column {column!r}: cannot convert {have.simpleString()} to {want.simpleString()}")
     if isinstance(want, (T.TimestampNTZType, T.TimestampType)) and isinstance(have, T.LongType):
-        return (value / 1_000_000_000).cast("timestamp").cast(want)  # nanoseconds, as Spark reads them by request
+        return F.timestamp_micros(F.call_function("div", value, F.lit(1000))).cast(want)  # nanoseconds, read as numbers
     return value.cast(want)
 
 

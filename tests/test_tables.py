@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -150,6 +151,12 @@ def test_casts(spark, data):
         table(spark, data, "example1", columns={"one": "polygon"})
 
 
+def test_nanoseconds(spark, tmp_path):
+    path = fixtures.simple(tmp_path / "ns.parquet", {"t": pa.timestamp("ns")}, [(1_514_764_800_123_456_789,), (None,)])
+    t = ParquetTable(spark, "t", {"t": "timestamp"}, {"filename": path})
+    assert [r.t for r in t.in_file_order().collect()] == [dt.datetime(2018, 1, 1, 0, 0, 0, 123456), None]
+
+
 def test_files_func_and_folders(spark, data, tmp_path):
     fixtures.example2(tmp_path)
     (tmp_path / "deep").mkdir()
@@ -263,3 +270,20 @@ def test_connections(spark):
     assert catalog.disconnect_all() is True and catalog.disconnect_all() is False
     catalog.connect("s1", "b")
     assert catalog.version()
+
+
+def test_new_files_as_a_stream(spark, tmp_path):
+    from siltstone.streaming.folders import stream
+
+    (tmp_path / "in").mkdir()
+    fixtures.example1(tmp_path / "in")
+    t = ParquetTable(spark, "t", {"id": ("int4", {"column_name": "one"}), "seven": "float8", "nope": "text"}, {"dirname": str(tmp_path / "in")})
+
+    def drain():
+        q = stream(t).writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "c")).option("path", str(tmp_path / "out")).trigger(availableNow=True).start()
+        q.awaitTermination(120)
+        return spark.read.parquet(str(tmp_path / "out")).count()
+
+    assert drain() == 6
+    fixtures.example2(tmp_path / "in")
+    assert drain() == 11
