@@ -24,7 +24,7 @@ SYMBOLS = "#*$%&|<>"
 LEAST_WORDS, MOST_REPEATED_PERCENT = 50, 50
 
 #: A line that reads as text ends so, perhaps inside quotes or brackets.
-SENTENCE_END = r"[.!?…:;。！？][\"'”’»)\]]*$"
+SENTENCE_END = r"[.!?…:;。！？][\"'”’»)\]]*\z"
 #: Shouted or decorated endings: this many or more mark a line as none of prose.
 SHOUT, MOST_SHOUTS = "!!", 3
 #: Between the items of menus and tables.

@@ -152,6 +152,24 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(documents, width=2, percent=80)
 
 
+OP6_SQL = r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN w IS NULL OR len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w[1]]
+    ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS s FROM docs
+), items AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM items a JOIN items b ON a.x = b.x AND a.doc_id <> b.doc_id
+    AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), reach AS (
+  SELECT doc_id AS node, doc_id AS other FROM sets UNION SELECT r.node, l.b FROM reach r JOIN links l ON r.other = l.a
+), least_of AS (SELECT node, min(other) AS component_id FROM reach GROUP BY node)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept FROM sets JOIN least_of ON doc_id = node
+"""
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify_languages(load(spark, sf_dir, "documents", "doc_id", "text", "lang"))
 
@@ -160,6 +178,39 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(load(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+OP8_SQL = r"""
+WITH c AS (SELECT ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) AS space),
+docs AS (SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS t FROM documents),
+word AS (SELECT k, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM docs),
+win AS (SELECT k, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g FROM (SELECT k, w, unnest(range(1, len(w) - 1)) AS i FROM word)),
+twice AS (SELECT k, g FROM win GROUP BY k, g HAVING count(*) > 1),
+spot AS (SELECT DISTINCT k, i + o AS p FROM win JOIN twice USING (k, g), (VALUES (0), (1), (2)) v(o)),
+again AS (SELECT k, count(*) AS n FROM spot GROUP BY k),
+line AS (SELECT k, l FROM (SELECT k, unnest(string_split(t, chr(10))) AS l FROM docs) WHERE regexp_matches(l, '[^\x20\x09-\x0D]')),
+judged AS (
+  SELECT k, l, length(translate(l, space, '')) AS seen,
+    NOT regexp_matches(rtrim(l, space), '[.!?…:;。！？]["''”’»)\]]*$')
+    OR length(l) - length(replace(l, '!!', '')) >= 6
+    OR length(l) - length(translate(l, '|›»•·', '')) >= 3
+    OR regexp_matches(translate(l, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), 'BOILERPLATE')
+    OR (length(l) - length(translate(l, '#*$%&|<>', ''))) * 100 > length(translate(l, space, '')) * 10 AS fails
+  FROM line, c
+), page AS (
+  SELECT k, count(*) AS n_lines, count(*) - count(DISTINCT l) AS dup, count(*) FILTER (WHERE fails) AS n_failed, coalesce(sum(seen) FILTER (WHERE fails), 0) AS lost
+  FROM judged GROUP BY k
+), base AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(translate(t, space, '')) AS BIGINT) AS word_chars,
+    CAST(length(t) - length(translate(t, '#*$%&|<>', '')) AS BIGINT) AS n_symbols, CAST(coalesce(dup, 0) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(again.n, 0) AS BIGINT) AS n_repeat_words, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines,
+    CAST(coalesce(n_failed, 0) AS BIGINT) AS n_failed_lines, CAST(coalesce(lost, 0) AS BIGINT) AS lost_chars
+  FROM docs JOIN word USING (k) LEFT JOIN again USING (k) LEFT JOIN page USING (k), c
+)
+SELECT *, n_words < 50 OR n_repeat_words * 100 > n_words * 50 AS base_failed,
+  NOT (n_words < 50 OR n_repeat_words * 100 > n_words * 50) AND lost_chars * 100 <= word_chars * 50 AS kept
+FROM base
+""".replace("BOILERPLATE", "|".join(quality.BOILERPLATE))
+
+
 def op9_token_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = load(spark, sf_dir, "documents", "doc_id", "text")
     path = public_tokenizers.path("byte_bpe_50k.json")
@@ -173,7 +224,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_exact_topk, op2_best_fit_packing, op3_line_dedup, op4_url_filters, op5_personal_data, op6_near_duplicates, op7_language, op8_quality, op9_token_matrices, op10_byte_bpe)}
-SQL: dict[str, str] = {"op1_exact_topk": OP1_SQL, "op3_line_dedup": OP3_SQL, "op4_url_filters": OP4_SQL}
+SQL: dict[str, str] = {"op1_exact_topk": OP1_SQL, "op3_line_dedup": OP3_SQL, "op4_url_filters": OP4_SQL, "op6_near_duplicates": OP6_SQL, "op8_quality": OP8_SQL}
 
 
 def queries() -> dict[str, Query]:
