@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Exact column names, PostgreSQL-like arithmetic, and run-time re-planning.
+#: Exact column names, micros in files, nanoseconds as numbers, and run-time re-planning.
 SETTINGS = {
     "spark.sql.caseSensitive": "true",
     "spark.sql.session.timeZone": "UTC",
