@@ -9,9 +9,12 @@ a similarity of 0.8 has no common key once in 8 million.
 Equal sets are first reduced to one representative each. Within a bucket no pairs are listed: one leader is compared
 with each other member on full sets, and the links found are joined to components. The leader is the member that shares
 the most keys with others, so the original among its variants. Buckets whose other members are by then in one component
-are done; from the rest the leader is taken out and the next round begins. What few rounds leave, pairs of different
-components in a common bucket, is compared directly. So every pair with a common key is compared or already connected,
-and no bucket is cut short. Hot buckets are spread: leaders come from partial aggregates, members join them.
+are done. In the others each member is written as its difference from the leader: two members differ from each other in
+at most |d1| + |d2| elements, less two for each element that d1 and d2 share. Two that aren't connected yet, of which
+one isn't linked to the leader, can therefore only be similar if they share more than half of the other's difference;
+so only pairs that share one of its rarer half are compared. That is exact: every pair with a common key is compared,
+connected, or ruled out by these counts, and no bucket is cut short. Hot buckets are spread: leaders and frequencies
+come from partial aggregates, members join them.
 
 Cases: a null or blank text has no set, is its own component and is kept. A row with a null id takes no part: its
 component is null and it is kept. Repeated rows of one id are one node; each row is returned. Texts with fewer words
@@ -26,15 +29,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltstone.llm.common import durable
 from siltstone.llm.components import connected_components
 
 ROWS, BANDS = 5, 40
-#: Leaders taken from a bucket before the rest is compared directly.
-ROUNDS = 3
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _U = np.uint64
 #: Elements times permutations evaluated at once.
@@ -178,46 +179,72 @@ def _components(links: DataFrame, members: DataFrame) -> DataFrame:
     return joined.withColumn("component", F.coalesce("component", "node"))
 
 
-def links_of(nodes: DataFrame, sets_of, percent: int, rounds: int = ROUNDS) -> DataFrame | None:
+def differences(family: DataFrame, sets: DataFrame) -> DataFrame:
+    """family with `delta`: the elements that only one of node and leader has."""
+    columns = family.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
+                x, y = (np.frombuffer(v.as_buffer(), dtype=_U) for v in (x, y))
+                out.append(_signed(np.setxor1d(x, y, assume_unique=True)))
+            kept = [batch.column(c) for c in columns]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(out, pa.list_(pa.int64()))], [*columns, "delta"])
+
+    left = sets.select("node", F.col("shingles").alias("x"))
+    right = sets.select(F.col("node").alias("leader"), F.col("shingles").alias("y"))
+    schema = ", ".join(f"{c} {kind}" for c, kind in family.dtypes)
+    return family.join(left, "node").join(right, "leader").mapInArrow(run, f"{schema}, delta array<long>")
+
+
+def pairs_by_difference(family: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of members of one leader, in different components, that may be similar.
+
+    family: (leader, node, n, n2, component, delta), n and n2 the sizes of node's and leader's sets. Similar means that
+    the difference is at most c times the sum of sizes. With node a not linked to the leader, |a ^ leader| is more than
+    that, and similar a and b share more than (|delta b| + c (n2 - n of b)) / 2 elements of their differences."""
+    c = (100 - percent) / (100 + percent)
+    elements = family.withColumn("d", F.size("delta")).withColumn("e", F.explode("delta")).drop("delta")
+    often = elements.groupBy("leader", "e").agg(F.count("*").alias("f"))
+    counted = elements.join(often, ["leader", "e"])
+    order = Window.partitionBy("leader", "node").orderBy("f", "e")
+    shared = F.floor((F.col("d") + c * (F.col("n2") - F.col("n"))) / 2 - 1e-9)
+    rare = counted.withColumn("k", F.row_number().over(order)).where((F.col("k") <= F.col("d") - shared) & (F.col("f") > 1))
+    rare = rare.select("leader", "e", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
+    apart = elements.where(F.col("d") > c * (F.col("n") + F.col("n2")) - 1e-9)
+    apart = apart.select("leader", "e", F.col("node").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
+    close = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
+    found = apart.join(rare, ["leader", "e"]).where("ca <> cb").where(close)
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def links_of(nodes: DataFrame, sets_of, percent: int) -> DataFrame | None:
     """Links (a, b) between nodes (node, n, keys) that connect exactly what all links connect; None without candidates.
 
     sets_of: gives full sets (node, shingles) for a DataFrame of nodes."""
     rows = nodes.select("node", "n", F.explode("keys").alias("key"))
     shared = rows.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    active = durable(rows.join(shared, "key").withColumn("component", F.col("node")))
+    active = durable(rows.join(shared, "key"))
     if active.isEmpty():
         return None
     sets = durable(sets_of(active.select("node").distinct()))
-    links = None
-    for turn in range(rounds + 1):
-        last = turn == rounds
-        if last:
-            one = active.select("key", F.col("node").alias("a"), F.col("n").alias("n1"), F.col("component").alias("c1"))
-            two = active.select("key", F.col("node").alias("b"), F.col("n").alias("n2"), F.col("component").alias("c2"))
-            pairs = one.join(two, "key").where("c1 < c2")
-        else:
-            standing = active.groupBy("node").agg(F.sum("size").alias("standing"))
-            ranked = active.join(standing, "node")
-            best = F.max(F.struct("standing", (-F.col("node")).alias("m"), "n", "component")).alias("best")
-            leaders = ranked.groupBy("key").agg(best)
-            led = active.join(leaders, "key").withColumn("leader", -F.col("best.m"))
-            led = durable(led.withColumn("n2", F.col("best.n")).withColumn("c2", F.col("best.component")).drop("best"))
-            apart = led.where("node <> leader and component <> c2")
-            pairs = apart.select(F.col("node").alias("a"), F.col("leader").alias("b"), F.col("n").alias("n1"), "n2")
-        close = F.least("n1", "n2") * 100 >= F.greatest("n1", "n2") * percent
-        pairs = pairs.where(close).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        new = durable(confirmed(pairs, sets, percent))
-        links = new if links is None else links.union(new)
-        if last:
-            break
-        rest = led.where("node <> leader").select("key", "node", "n", "size")
-        rest = _components(links, rest)
-        mixed = rest.groupBy("key").agg(F.min("component").alias("c1"), F.max("component").alias("c2"), F.count("*").alias("left"))
-        mixed = mixed.where("c1 <> c2").select("key", "left")
-        active = durable(rest.join(mixed, "key").select("key", "node", "n", F.col("left").alias("size"), "component"))
-        if active.isEmpty():
-            break
-    return links
+    standing = active.groupBy("node").agg(F.sum("size").alias("standing"))
+    best = F.max(F.struct("standing", (-F.col("node")).alias("m"), "n")).alias("best")
+    leaders = active.join(standing, "node").groupBy("key").agg(best)
+    leaders = leaders.select("key", (-F.col("best.m")).alias("leader"), F.col("best.n").alias("n2"))
+    led = durable(active.join(leaders, "key").where("node <> leader").select("key", "node", "n", "leader", "n2"))
+    close = F.least("n", "n2") * 100 >= F.greatest("n", "n2") * percent
+    pairs = led.where(close).select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
+    links = durable(confirmed(pairs, sets, percent))
+    rest = _components(links, led)
+    mixed = rest.groupBy("key").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 <> c2").select("key")
+    family = rest.join(mixed, "key", "left_semi").select("leader", "node", "n", "n2", "component").distinct()
+    family = durable(family)
+    if family.isEmpty():
+        return links
+    more = pairs_by_difference(durable(differences(family, sets)), percent)
+    return links.union(durable(confirmed(more, sets, percent)))
 
 
 def near_duplicates(
