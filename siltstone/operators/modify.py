@@ -14,7 +14,8 @@ import json
 import time
 import uuid
 import warnings
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,6 +29,7 @@ from siltstone.sources.table import FILE, ROW, ParquetTable
 from siltstone.sources.types import KEY_TYPES, SORT_TYPES, document_type
 
 Values = Mapping[str, object]
+FILES_AT_ONCE = 16
 
 
 def _column(value: object) -> Column:
@@ -96,8 +98,13 @@ class Modifier:
         full = self.spark.read.schema(full.schema).parquet(f"{stage}/rows")
         self._check_keys(full)
         files = self._file_names()
-        for target, own in self._targets(full, files).items():
-            self._add(target, own, target in files)
+        self._each(lambda item: self._add(*item, item[0] in files), list(self._targets(full, files).items()))
+
+    @staticmethod
+    def _each(work: Callable, items: list) -> None:
+        """Files are independent of each other: rewrite several at a time."""
+        with ThreadPoolExecutor(max(1, min(FILES_AT_ONCE, len(items)))) as pool:
+            list(pool.map(work, items))
 
     def _generate(self, df: DataFrame) -> DataFrame:
         """Generated columns from the others."""
@@ -259,8 +266,8 @@ class Modifier:
                 for name in set(changes) & set(keys):
                     if not victims.where(F.col("__new").getField(name).isNull()).isEmpty():
                         raise ModifyError(f"key column {name} must not be NULL")
-            for (file,) in victims.select(FILE).distinct().collect():
-                self._rewrite(file, victims.where(F.col(FILE) == file), changes)
+            touched = [r[0] for r in victims.select(FILE).distinct().collect()]
+            self._each(lambda file: self._rewrite(file, victims.where(F.col(FILE) == file), changes), touched)
         finally:
             self.store.delete(stage, True)
 
@@ -276,7 +283,6 @@ class Modifier:
             return [F.struct(*[_column(v).cast(known[n]).alias(n) for n, v in changes.items()]).alias("__new")]
         values = {n: _column(v) for n, v in changes.items()}
         values = {n: v.cast(self.table.column(n).kind) if self.table.column(n).kind else v for n, v in values.items()}
-        fields = [v.alias(n) for n, v in values.items()]
         return [F.struct(*[v.alias(n) for n, v in values.items()]).alias("__new")]
 
     def _with_generated(self, hit: DataFrame, changes: Values, keys: list[str], key_columns: list[Column]) -> DataFrame:

@@ -207,8 +207,10 @@ class ParquetTable:
 
     def file_rank(self) -> Column:
         """A file's place in the table's list, from a path as Spark gives it."""
-        names = [p.rpartition("://")[2] if "://" in p else p.removeprefix("file:") for p in self.files()]
         cleaned = F.regexp_replace(F.url_decode(F.regexp_replace(FILE, r"\+", "%2B")), r"^\w+:(//)?", "")
+        if self.options.dirname is not None:  # a folder's files are in the order of their paths
+            return cleaned
+        names = [p.rpartition("://")[2] if "://" in p else p.removeprefix("file:") for p in self.files()]
         rank = F.lit(len(names))
         for i, name in reversed(list(enumerate(names))):
             rank = F.when(cleaned == F.lit(name), i).otherwise(rank)
