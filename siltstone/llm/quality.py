@@ -145,5 +145,7 @@ def judge(df: DataFrame, id_column: str = "doc_id", text_column: str = "text", k
 
 def clean_documents(df: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The kept rows of df with their failed lines removed; all columns stay. A null text never survives."""
-    kept = judge(df, id_column, text_column, keep_text=True).where("kept")
+    judged = judge(df, id_column, text_column, keep_text=True)
+    # a filter on row numbers can't be moved below the projections, where it would work everything out many times over
+    kept = judged.withColumn("__at", F.monotonically_increasing_id()).where(F.col("kept") & (F.col("__at") >= 0))
     return kept.select(*[F.col("clean_text").alias(c) if c == text_column else F.col("row")[c].alias(c) for c in df.columns])
