@@ -203,19 +203,25 @@ def pairs_by_difference(family: DataFrame, percent: int) -> DataFrame:
 
     family: (leader, node, n, n2, component, delta), n and n2 the sizes of node's and leader's sets. Similar means that
     the difference is at most c times the sum of sizes. With node a not linked to the leader, |a ^ leader| is more than
-    that, and similar a and b share more than (|delta b| + c (n2 - n of b)) / 2 elements of their differences."""
+    that, and similar a and b share more than (|delta b| + c (n2 - n of b)) / 2 elements of their differences, and at least
+    (|delta a| + |delta b| - c (n of a + n of b)) / 2."""
     c = (100 - percent) / (100 + percent)
     elements = family.withColumn("d", F.size("delta")).withColumn("e", F.explode("delta")).drop("delta")
     often = elements.groupBy("leader", "e").agg(F.count("*").alias("f"))
     counted = elements.join(often, ["leader", "e"])
     order = Window.partitionBy("leader", "node").orderBy("f", "e")
     shared = F.floor((F.col("d") + c * (F.col("n2") - F.col("n"))) / 2 - 1e-9)
-    rare = counted.withColumn("k", F.row_number().over(order)).where((F.col("k") <= F.col("d") - shared) & (F.col("f") > 1))
-    rare = rare.select("leader", "e", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-    apart = elements.where(F.col("d") > c * (F.col("n") + F.col("n2")) - 1e-9)
-    apart = apart.select("leader", "e", F.col("node").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-    close = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
-    found = apart.join(rare, ["leader", "e"]).where("ca <> cb").where(close)
+    ranked = counted.withColumn("k", F.row_number().over(order)).where("f > 1")
+    rare = ranked.where(F.col("k") <= F.col("d") - shared)
+    rare = rare.select("leader", "e", *[F.col(x).alias(x[0] + "b") for x in ("node", "component", "k", "d")], F.col("n").alias("sb"))
+    apart = ranked.where(F.col("d") > c * (F.col("n") + F.col("n2")) - 1e-9)
+    apart = apart.select("leader", "e", *[F.col(x).alias(x[0] + "a") for x in ("node", "component", "k", "d")], F.col("n").alias("sa"))
+    close = F.least("sa", "sb") * 100 >= F.greatest("sa", "sb") * percent
+    # of the elements that these two must share, the rarest is among the first of either that leave room for the others
+    least_shared = F.ceil((F.col("da") + F.col("db") - c * (F.col("sa") + F.col("sb"))) / 2 - 1e-9)
+    early = (F.col("ka") <= F.col("da") - least_shared + 1) & (F.col("kb") <= F.col("db") - least_shared + 1)
+    found = apart.join(rare, ["leader", "e"]).where("ca <> cb").where(close & early)
+    found = found.select(F.col("na").alias("a"), F.col("nb").alias("b"))
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
