@@ -137,7 +137,7 @@ def judge(df: DataFrame, id_column: str = "doc_id", text_column: str = "text", k
     ]
     if keep_text:
         clean = F.array_join(F.filter("lines", lambda line: ~(has_word(line) & line_fails(line))), "\n")
-        columns += [clean.alias("clean_text"), "row"]
+        columns += [F.when(F.size("failed") == 0, t).otherwise(clean).alias("clean_text"), "row"]
     judged = own.select(*columns)
     enough = F.col("lost_chars") * 100 <= F.col("word_chars") * MOST_LOST_PERCENT
     return judged.withColumn("kept", ~F.col("base_failed") & enough)
