@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -19,6 +20,20 @@ def ordered(df: DataFrame, *keys: str, nulls: str | None = None) -> DataFrame:
     return df.orderBy(*out)
 
 
+def with_position(df: DataFrame, name: str = "pos") -> DataFrame:
+    """df with the position of each row from 0, in the order that df has. Only a count a partition goes to the driver."""
+    sc = df.sparkSession.sparkContext
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="siltstone-"))
+    fixed = df.checkpoint(eager=True)  # partitions stay as they are from here on
+    part, at = F.spark_partition_id(), F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    starts, total = {}, 0
+    for p, n in sorted(fixed.groupBy(part.alias("p")).count().collect()):
+        starts[p], total = total, total + n
+    offset = F.element_at(F.create_map(*[F.lit(x).cast("long") for pair in starts.items() for x in pair]), part.cast("long")) if starts else F.lit(0)
+    return fixed.select((at + offset).cast("long").alias(name), "*")
+
+
 def array_agg(value: Column, order_by: Column | None = None, descending: bool = False, nulls_last: bool = True, distinct: bool = False) -> Column:
     """array_agg with an order inside; null values stay. Nulls of the order go last, or first on request."""
     key = value if order_by is None else order_by

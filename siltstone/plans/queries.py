@@ -379,6 +379,16 @@ def nulls_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compat.ordered(d.join(lab, "doc_id", "left").select("doc_id", "quality"), "quality", "doc_id desc").limit(500)
 
 
+@query(
+    "SELECT CAST(row_number() OVER (ORDER BY l.quality ASC NULLS LAST, d.doc_id DESC) - 1 AS BIGINT) AS pos, d.doc_id, l.quality"
+    " FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"
+)
+def nulls_order_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of the order that nulls_order begins, with its position."""
+    d, lab = declared(spark, sf_dir, "documents").df(), declared(spark, sf_dir, "labels").df()
+    return compat.with_position(compat.ordered(d.join(lab, "doc_id", "left").select("doc_id", "quality"), "quality", "doc_id desc"))
+
+
 @query("SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem ORDER BY l_orderkey, l_linenumber LIMIT 200")
 def sorted_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = declared(spark, sf_dir, "lineitem", sorted="l_orderkey l_linenumber")

@@ -64,3 +64,14 @@ def test_compat_functions(spark):
 def test_folder_tables(spark, sf_dir, tmp_path):
     spark.read.parquet(f"{sf_dir}/orders.parquet").repartition(3).write.parquet(str(tmp_path / "orders.parquet"))
     assert declared(spark, str(tmp_path), "orders").df().count() == spark.read.parquet(f"{sf_dir}/orders.parquet").count()
+
+
+def test_positions_follow_the_whole_order(spark, sf_dir):
+    df = spark.range(0, 5000, 1, 7).selectExpr("id", "IF(id % 3 = 0, NULL, id % 11) AS v")
+    got = compat.with_position(compat.ordered(df, "v", "id desc")).collect()
+    want = sorted(((r.v is None, r.v or 0, -r.id) for r in df.collect()))
+    assert [(r.v is None, r.v or 0, -r.id) for r in sorted(got, key=lambda r: r.pos)] == want
+    assert sorted(r.pos for r in got) == list(range(5000))
+    assert compat.with_position(compat.ordered(df.limit(0), "v")).collect() == []
+    whole = QUERIES["nulls_order_all"](spark, sf_dir).collect()
+    assert any(r.quality is None for r in whole) and len(whole) == spark.read.parquet(f"{sf_dir}/documents.parquet").count()
