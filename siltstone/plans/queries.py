@@ -395,6 +395,15 @@ def sorted_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.in_sorted_order().select("l_orderkey", "l_linenumber", "l_quantity").limit(200)
 
 
+@query(
+    "SELECT CAST(row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_quantity) - 1 AS BIGINT) AS pos, l_orderkey, l_linenumber, l_quantity FROM lineitem"
+)
+def sorted_scan_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of the order that sorted_scan begins, with its position; quantities put repeated keys in order."""
+    t = declared(spark, sf_dir, "lineitem", sorted="l_orderkey l_linenumber l_quantity")
+    return compat.with_position(t.in_sorted_order().select("l_orderkey", "l_linenumber", "l_quantity"))
+
+
 same_sql("union_distinct", "SELECT c_nationkey AS k FROM customer UNION SELECT s_nationkey FROM supplier")
 same_sql("union_all", "SELECT c_nationkey AS k FROM customer UNION ALL SELECT s_nationkey FROM supplier")
 same_sql("intersect", "SELECT c_custkey AS k FROM customer INTERSECT SELECT s_suppkey FROM supplier")

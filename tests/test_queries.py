@@ -75,3 +75,10 @@ def test_positions_follow_the_whole_order(spark, sf_dir):
     assert compat.with_position(compat.ordered(df.limit(0), "v")).collect() == []
     whole = QUERIES["nulls_order_all"](spark, sf_dir).collect()
     assert any(r.quality is None for r in whole) and len(whole) == spark.read.parquet(f"{sf_dir}/documents.parquet").count()
+
+
+def test_sorted_scan_returns_every_row(spark, sf_dir):
+    got = QUERIES["sorted_scan_all"](spark, sf_dir).orderBy("pos").collect()
+    assert [r.pos for r in got] == list(range(spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()))
+    keys = [(r.l_orderkey, r.l_linenumber, r.l_quantity) for r in got]
+    assert keys == sorted(keys) and len(keys) > 200
