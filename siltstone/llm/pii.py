@@ -4,7 +4,7 @@ Base spans are the leftmost matches of one expression a kind, kept if they pass
 the two words before a span are a lexical pattern, its text an instance, and both form a graph over the whole corpus
 together with every other token that looks like an identifier. In rounds a pattern is scored by the share of its
 distinct instances that are known to be of one kind, an unknown instance by the patterns that lead to it, and instances
-of a high score become known. Unseen identifiers that follow a pattern of high confidence are added as spans of its
+of a high score become known, until a round finds none. Unseen identifiers that follow a pattern of high confidence are added as spans of its
 kind. Base spans always stay.
 
 Everything is built from DataFrame functions. Texts are read in one narrow pass; only distinct (pattern, instance)
@@ -21,6 +21,8 @@ first. An empty table gives an empty result. Other columns are ignored.
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,7 +47,6 @@ CONTEXT_CHARS = 64
 CONTEXT = rf"({SPACE_CLASS.replace('[', '[^')}+){SPACE_CLASS}+({SPACE_CLASS.replace('[', '[^')}+){SPACE_CLASS}*$"
 #: A pattern of confidence: so many known instances of one kind, and this share of all its instances.
 LEAST_SUPPORT, LEAST_SCORE = 3, 0.7
-ROUNDS = 3
 MATCHES = "array<struct<s:long,e:long,v:string>>"
 SPAN = "struct<kind:string,start:long,end:long>"
 
@@ -134,13 +135,16 @@ def scan(df: DataFrame, text: Column, *keep: Column) -> DataFrame:
     )
 
 
-def bootstrap(found: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame] | None:
-    """(patterns, instances) of high confidence from scanned rows: (ctx, kind) and (v, kind); None if there are none."""
+def bootstrap(found: DataFrame, rounds: int | None = None) -> tuple[DataFrame, DataFrame] | None:
+    """(patterns, instances) of high confidence from scanned rows: (ctx, kind) and (v, kind); None if there are none.
+
+    Rounds end with the first that adds no instance, so the patterns are scored with every instance known; each makes at
+    least one known, so there is an end. `rounds` stops earlier, with patterns as the last round scored them."""
     seeds = found.select(F.inline("spans")).select("ctx", "v", "kind")
     others = found.select(F.inline("tokens")).select("ctx", "v", F.lit(None).cast("string").alias("kind"))
     graph = durable(seeds.union(others).where("ctx <> ''").distinct())
     patterns = instances = None
-    for _ in range(rounds):
+    for _ in itertools.count() if rounds is None else range(rounds):
         known = F.array_sort(F.array(*[F.struct((-F.count(F.when(F.col("kind") == k, 1))).alias("n"), F.lit(i).alias("i")) for i, k in enumerate(KINDS)]))[0]
         scored = graph.groupBy("ctx").agg(F.count("*").alias("n"), known.alias("best"))
         scored = scored.withColumn("support", -F.col("best.n")).withColumn("score", F.col("support") / F.col("n"))
@@ -157,14 +161,14 @@ def bootstrap(found: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, DataFr
         new = durable(new)
         if new.isEmpty():
             break
-        instances = new if instances is None else instances.union(new)
+        instances = new if instances is None else durable(instances.union(new))
         graph = durable(graph.join(new, "v", "left").select("ctx", "v", F.coalesce("kind", "k").alias("kind")).distinct())
     if instances is None:
         return None
     return patterns.select("ctx", F.col("k").alias("kind")), instances.select("v", F.col("k").alias("kind"))
 
 
-def discovered(found: DataFrame, rounds: int = ROUNDS) -> DataFrame | None:
+def discovered(found: DataFrame, rounds: int | None = None) -> DataFrame | None:
     """Rows (th, added array<SPAN>): what the method adds to the texts that have any; None if it adds nothing."""
     learned = bootstrap(found, rounds)
     if learned is None:
@@ -176,7 +180,7 @@ def discovered(found: DataFrame, rounds: int = ROUNDS) -> DataFrame | None:
     return durable(hits.groupBy("th").agg(F.collect_set(span).alias("added")))
 
 
-def all_spans(found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def all_spans(found: DataFrame, rounds: int | None = None) -> DataFrame:
     """Scanned rows with `base` and `added`, arrays of SPAN in the order of kind and start."""
     base = F.transform("spans", lambda m: F.struct(m["kind"].alias("kind"), m["s"].alias("start"), m["e"].alias("end")))
     found = found.withColumn("base", base)

@@ -84,6 +84,25 @@ def test_second_round_builds_on_the_first(spark):
     assert {r.v for r in two[1].collect()} == {"handle-0000", "handle-1111", "secret-5150"}
 
 
+def test_rounds_run_until_none_finds_more(spark):
+    links = ["kindly use contact:", "or by alias", "reach them under", "also known as", "filed here as", "last seen with"]
+    rows = [(i, f"kindly use contact: user{i}@mail.example.com now") for i in range(9)]
+    for k in range(5):
+        rows += [(100 * (k + 1) + i, f"{links[k]} step{k}-{i}{i}{i}{i} ok") for i in range(3)]
+        rows += [(100 * (k + 1) + 10 + i, f"{links[k + 1]} step{k}-{i}{i}{i}{i} ok") for i in range(3)]
+        rows += [(100 * (k + 1) + 20 + i, f"{links[k + 1]} user{50 + 10 * k + i}@mail.example.com ok") for i in range(5)]
+    rows.append((900, f"{links[5]} secret-5150 ok"))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    spans = {r.doc_id: r.spans for r in pii.digests(pii.find_personal_data(df)).collect()}
+    for k in range(5):
+        at = len(links[k]) + 1
+        assert spans[100 * (k + 1)] == f"email:{at}:{at + 10}", k
+    at = len(links[5]) + 1
+    assert spans[900] == f"email:{at}:{at + 11}"
+    found = pii.scan(df, df.text, df.doc_id)
+    assert "secret-5150" not in {r.v for r in pii.bootstrap(found, 3)[1].collect()}
+
+
 def test_redaction(spark):
     rows = [(1, None), (2, ""), (3, "🙂 a@b.cd, 10.0.0.1 x"), (4, "mail +12345678@x.org"), (5, "none")]
     df = spark.createDataFrame([(i, t, "k") for i, t in rows], "doc_id long, text string, th string")
