@@ -18,6 +18,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siltstone.functions import compat
 from siltstone.llm import lines, minhash, packing, pii, quality
 from siltstone.llm.common import durable, shared_folder
 
@@ -40,15 +41,28 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group, that of the smallest id; of repeated rows of that id one. Rows without id stay."""
-    judged = durable(minhash.near_duplicates(docs, width=5, percent=80).where("doc_id is not null"))
-    removed = judged.where("not kept").select("doc_id").distinct()
-    removed = durable(removed)
+    """One document of each group, that of the smallest id. Where ids repeat, rows of one id with different texts are
+    judged each by its own text; exact copies of id and text are one row. Rows without id stay."""
+    if not docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
+        return _near_duplicates_of_rows(docs)
+    judged = minhash.near_duplicates(docs, width=5, percent=80).where("doc_id is not null and not kept")
+    removed = durable(judged.select("doc_id").distinct())
     removed = F.broadcast(removed) if removed.count() <= BROADCAST_IDS else removed
-    left = docs.join(removed, "doc_id", "left_anti").select(*docs.columns)
-    if judged.where("kept").groupBy("doc_id").count().where("count > 1").isEmpty():
-        return left
-    return left.where("doc_id is not null").dropDuplicates(["doc_id"]).union(left.where("doc_id is null"))
+    return docs.join(removed, "doc_id", "left_anti").select(*docs.columns)
+
+
+def _near_duplicates_of_rows(docs: DataFrame) -> DataFrame:
+    """near_duplicates() where ids repeat: a row is known by id and text."""
+    digest = F.coalesce(F.md5(F.col("text").cast("binary")), F.lit(""))
+    named = docs.where("doc_id is not null").withColumn("__text", digest).dropDuplicates(["doc_id", "__text"])
+    # numbered in the order of id and text, over fixed partitions, so that a group keeps its smallest id
+    numbered = compat.with_position(named.select("doc_id", "__text").orderBy("doc_id", "__text"), "__row")
+    numbered = durable(numbered)
+    keyed = named.join(numbered, ["doc_id", "__text"])
+    rows = keyed.select(F.col("__row").alias("doc_id"), "text")
+    kept = minhash.near_duplicates(rows, width=5, percent=80).where("kept").select(F.col("doc_id").alias("__row"))
+    left = keyed.join(durable(kept), "__row", "left_semi").select(*docs.columns)
+    return left.union(docs.where("doc_id is null"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
