@@ -61,3 +61,31 @@ def test_very_large_numbers_stay_exact():
     big = np.array([[2**40, 1], [2**40, 2], [0, 2**30]], dtype=object)
     found = topk.threshold_topk(big, np.arange(3), big[:1], np.array([0]), 2)
     assert found == [(0, 1, 2**80 + 2), (0, 2, 2**30)]
+
+
+def test_a_floor_stops_before_anything_is_read():
+    corpus = np.arange(40, dtype=np.float64).reshape(20, 2)
+    query = np.array([[1.0, 1.0]])
+    assert topk.threshold_topk(corpus, np.arange(20), query, np.array([-1]), 2, [78]) == []
+    assert (0, 19, 77) in topk.threshold_topk(corpus, np.arange(20), query, np.array([-1]), 2, [77])
+
+
+def long_score(x):
+    return min(max(x, -(2**63)), 2**63 - 1)
+
+
+@pytest.mark.parametrize("block", [3, 4096])
+def test_large_ids_and_repeated_rows(spark, block):
+    big = 2**53
+    rows = [(50, [1.0, 0.0]), (51, [0.5, 0.5]), (51, [0.5, 0.5]), (big + 1, [0.25, 1.0]), (big + 2, [0.25, 1.0]), (big, [0.25, 1.0]), (-7, [0.1, 0.0])]
+    got = run(spark, [(i, v, "") for i, v in rows], corpus_block=block)
+    assert got == brute(rows, 5)
+    assert [r[2] for r in got if r[0] == 50] == [51, big, big + 1, big + 2, -7]
+
+
+def test_scores_beyond_a_long(spark):
+    rows = [(50, [1e9] * 64, ""), (51, [1e9] * 64, ""), (52, [-1e9] * 64, ""), (53, [1.0] * 64, ""), (100, [3e38] * 64, "")]
+    want = {(q, i): s for q, _, i, s in brute([r[:2] for r in rows], 9)}
+    got = run(spark, rows, k=4)
+    assert [(r[0], r[1], r[2]) for r in got] == [(50, 1, 51), (50, 2, 100), (50, 3, 53), (50, 4, 52), (100, 1, 50), (100, 2, 51), (100, 3, 53), (100, 4, 52)]
+    assert want[50, 51] > 2**63 and all(r[3] == long_score(want[r[0], r[2]]) for r in got if r[0] == 50)
