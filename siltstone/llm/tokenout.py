@@ -10,10 +10,12 @@ with the end token), the cumulative lengths of its segments (`cu_seqlens`, from
 positions (`position_ids`, restarting at 0 at each segment), and where each segment comes from. write_matrices() writes
 them as blocks of `rows_per_block` lines, so a trainer reads fixed-size matrices from any store that Spark writes to.
 
-One narrow pass: no shuffle; a lost task packs its own split again, in the same way.
+One narrow pass: no shuffle; a lost task packs its own split again, in the same way. Each buffer packs alone, so it may
+leave its last sequences short: with the default buffer well under one in a thousand (README).
 
 Cases: a null or empty text is one segment of the end token. Repeated rows are packed each. Ties in length keep the
 order of arrival; ties in fit go to the bin opened or filled last. An empty table gives no sequences. Null ids are kept.
+An id that `id_bytes` can't hold is an error and never wraps.
 """
 
 from __future__ import annotations
@@ -88,6 +90,13 @@ def best_fit_decreasing(lengths: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
+def narrowed(ids: np.ndarray, kind: str) -> np.ndarray:
+    """The same ids in another width; an error if one doesn't fit."""
+    if len(ids) and int(ids.max()) > np.iinfo(kind).max:
+        raise ValueError(f"token id {int(ids.max())} does not fit {np.dtype(kind).itemsize} bytes: use id_bytes=4")
+    return ids.astype(kind)
+
+
 def packed_sequences(
     df: DataFrame,
     vocabulary: str,
@@ -100,6 +109,8 @@ def packed_sequences(
 ) -> DataFrame:
     """Rows of SEQUENCES. id_bytes: 2 for vocabularies below 65,536 ids, else 4."""
     kind = f"<u{id_bytes}"
+    if not 0 <= end_id <= np.iinfo(kind).max:
+        raise ValueError(f"end_id {end_id} does not fit {id_bytes} bytes")
 
     def emit(pieces: list[tuple], base: int) -> pa.RecordBatch:
         columns: list[list] = [[] for _ in range(7)]
@@ -125,7 +136,7 @@ def packed_sequences(
         base, pieces, held = TaskContext.get().partitionId() << 36, [], 0
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                whole = stream(ids_of(text.as_py()), end_id).astype(kind)
+                whole = narrowed(stream(ids_of(text.as_py()), end_id), kind)
                 for start, length in cuts(len(whole), capacity):
                     pieces.append((doc_id, start, whole[start : start + length]))
                 held += len(whole)
@@ -141,26 +152,19 @@ def packed_sequences(
 
 
 def write_matrices(sequences: DataFrame, path: str, rows_per_block: int = 256) -> None:
-    """Blocks of lines: `input_ids` and `position_ids` as one matrix each, `cu_seqlens` and the sources a line each."""
+    """Blocks of lines: `input_ids` and `position_ids` as one matrix each, `cu_seqlens` and the sources a line each.
+    Only the last block of a task may be short."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, n = TaskContext.get().partitionId() << 36, 0
+        block, held = TaskContext.get().partitionId() << 36, []
         for batch in batches:
-            for at in range(0, len(batch), rows_per_block):
-                part = batch.slice(at, rows_per_block).to_pydict()
-                columns = [
-                    pa.array([block + n], pa.int64()),
-                    pa.array([len(part["n_tokens"])], pa.int32()),
-                    pa.array([b"".join(part["input_ids"])], pa.binary()),
-                    pa.array([b"".join(part["position_ids"])], pa.binary()),
-                    pa.array([part["cu_seqlens"]], pa.list_(pa.list_(pa.int32()))),
-                    pa.array([part["doc_ids"]], pa.list_(pa.list_(pa.int64()))),
-                    pa.array([part["starts"]], pa.list_(pa.list_(pa.int64()))),
-                ]
-                n += 1
-                yield pa.RecordBatch.from_arrays(
-                    columns, ["block_id", "n_rows", "input_ids", "position_ids", "cu_seqlens", "doc_ids", "starts"]
-                )
+            for at in range(0, len(batch), rows_per_block):  # so that no more than a block is held as Python objects
+                held += batch.slice(at, rows_per_block).to_pylist()
+                if len(held) >= rows_per_block:
+                    yield _block(block, held[:rows_per_block])
+                    block, held = block + 1, held[rows_per_block:]
+        if held:
+            yield _block(block, held)
 
     schema = (
         "block_id long, n_rows int, input_ids binary, position_ids binary, cu_seqlens array<array<int>>,"
@@ -169,6 +173,21 @@ def write_matrices(sequences: DataFrame, path: str, rows_per_block: int = 256) -
     sequences.mapInArrow(run, schema).write.mode("errorifexists").parquet(path)
 
 
+def _block(block_id: int, rows: list[dict]) -> pa.RecordBatch:
+    joined = lambda name: pa.array([b"".join(r[name] for r in rows)], pa.binary())
+    listed = lambda name, kind: pa.array([[r[name] for r in rows]], pa.list_(pa.list_(kind)))
+    columns = {
+        "block_id": pa.array([block_id], pa.int64()),
+        "n_rows": pa.array([len(rows)], pa.int32()),
+        "input_ids": joined("input_ids"),
+        "position_ids": joined("position_ids"),
+        "cu_seqlens": listed("cu_seqlens", pa.int32()),
+        "doc_ids": listed("doc_ids", pa.int64()),
+        "starts": listed("starts", pa.int64()),
+    }
+    return pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+
+
 def restored_streams(sequences: DataFrame, id_bytes: int = 2) -> DataFrame:
     """Rows (doc_id, start, ids binary): the segments of packed sequences, for round trips."""
     parts = F.transform(

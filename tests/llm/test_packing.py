@@ -4,6 +4,7 @@ import zlib
 import numpy as np
 import public_tokenizers as P
 import pytest
+from tokenizers import Tokenizer
 
 from siltstone.llm import packing, tokenout
 from siltstone.llm.tokens import Reader
@@ -17,18 +18,27 @@ def documents(spark):
     rng = random.Random(2)
     more = [" ".join(rng.choices(["alpha", "beta", "the", "of", "zzz"], k=rng.randrange(1, 900))) for _ in range(150)]
     rows = [(i, t, "s") for i, t in enumerate(TEXTS + more)] + [(3, "Hello world", "s"), (None, "no id", "s")]
+    rows += [(400 + i, f"{t}<|endoftext|>x <|endoftext|>", "s") for i, t in enumerate(("", "a ", "é"))]
     return spark.createDataFrame(rows, "doc_id long, text string, length string").repartition(3)
 
 
 def streams(documents, end):
-    library = Reader(PATH, None)
-    return sorted((r.doc_id if r.doc_id is not None else -1, packing.stream(library.ids(r.text), end).tobytes()) for r in documents.collect())
+    return sorted((r.doc_id if r.doc_id is not None else -1, packing.stream(library_ids(r.text), end).tobytes()) for r in documents.collect())
+
+
+LIBRARY = Tokenizer.from_file(PATH)
+
+
+def library_ids(text):
+    """What the contract's call gives."""
+    return np.asarray(LIBRARY.encode(text or "", add_special_tokens=False).ids, dtype=np.uint32)
 
 
 def test_fast_ids_are_those_of_the_library():
     fast = Reader(PATH, P.PATTERN)
     for text in [t for t in TEXTS if t] + ["  \n \t x" * 100, "1234567 'll're", "  a", "á" * 20]:
-        assert fast.ids(text).tolist() == fast.ids_by_library(text).tolist()
+        assert fast.ids(text).tolist() == library_ids(text).tolist()
+    assert 50256 in fast.ids("a<|endoftext|>b").tolist() and fast.ids("a<|endoftext|>b").tolist() == library_ids("a<|endoftext|>b").tolist()
 
 
 def test_very_long_white_space():
@@ -39,11 +49,10 @@ def test_very_long_white_space():
 @pytest.mark.parametrize("open_bins", [1, 4, 8192])
 def test_packing_is_gapless_and_lossless(documents, open_bins):
     rows = packing.pack_documents(documents, PATH, P.PATTERN, 2, 1024, open_bins=open_bins, per_packer=64).collect()
-    library = Reader(PATH, None)
     want = sorted(
         (-1 if r.doc_id is None else r.doc_id, k, start, length, zlib.crc32(whole[start : start + length]))
         for r in documents.collect()
-        for whole in [packing.stream(library.ids(r.text), 2)]
+        for whole in [packing.stream(library_ids(r.text), 2)]
         for k, (start, length) in enumerate(packing.cuts(len(whole), 1024))
     )
     assert sorted((-1 if r.doc_id is None else r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows) == want
@@ -119,9 +128,13 @@ def test_token_matrices_round_trip(spark, documents, tmp_path):
         assert r.cu_seqlens[0] == 0 and r.cu_seqlens[-1] == r.n_tokens <= 1024
         for a, b in zip(r.cu_seqlens, r.cu_seqlens[1:]):
             assert positions[a:b].tolist() == list(range(b - a))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")  # blocks don't depend on how rows arrive
     tokenout.write_matrices(sequences, str(tmp_path / "m"), rows_per_block=16)
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     blocks = spark.read.parquet(str(tmp_path / "m")).collect()
     assert sum(b.n_rows for b in blocks) == sequences.count()
+    tasks = {b.block_id >> 36 for b in blocks}
+    assert sum(b.n_rows < 16 for b in blocks) <= len(tasks) < len(blocks)
     assert all(len(b.input_ids) == b.n_rows * 2048 for b in blocks)
 
 
@@ -129,3 +142,55 @@ def test_empty_table(documents):
     none = documents.limit(0)
     assert packing.pack_documents(none, PATH, P.PATTERN, 2).collect() == []
     assert tokenout.packed_sequences(none, PATH, P.PATTERN, 50256).collect() == []
+
+
+def test_the_bound_closes_bins():
+    """At the query's own size and bound bins do close, the fullest first, and little is wasted by it."""
+    rng = random.Random(3)
+    lengths = [min(1024, int(rng.lognormvariate(5.8, 0.8))) + 1 for _ in range(packing.PER_PACKER)]
+    lengths = [n if n <= 1024 else 1024 for n in lengths]
+    bins = packing.OpenBins(1024, packing.OPEN_BINS)
+    most = 0
+    for n in lengths:
+        bins.place(n)
+        most = max(most, bins.n_open)
+    assert most == packing.OPEN_BINS and bins.n_closed > 100
+    assert bins.n_bins <= 1.02 * sum(lengths) / 1024
+
+
+def test_repeated_ids_spread_over_packers(spark):
+    df = spark.createDataFrame([(7, "one and the same")] * 900 + [(None, "no id")] * 900, "doc_id long, text string")
+    rows = packing.pack_documents(df, PATH, P.PATTERN, 2, 1024, per_packer=300).collect()
+    packers = [r.sequence_id >> 36 for r in rows]
+    assert len(rows) == 1800 and max(packers.count(p) for p in set(packers)) <= 400
+
+
+def test_query_level_assignment(spark, documents):
+    """Sequences of one partition are those of a plain best-fit-decreasing over its pieces."""
+    one = documents.coalesce(1)
+    pieces = []
+    for r in one.collect():
+        whole = packing.stream(library_ids(r.text), 50256)
+        pieces += [(r.doc_id, start, length) for start, length in packing.cuts(len(whole), 1024)]
+    free, bins = [], []
+    for doc_id, start, length in sorted(pieces, key=lambda p: -p[2]):
+        fits = [(f, i) for i, f in enumerate(free) if f >= length]
+        if not fits:
+            free.append(1024)
+            bins.append([])
+            fits = [(1024, len(free) - 1)]
+        i = min(fits)[1]
+        free[i] -= length
+        bins[i].append(length)
+    got = tokenout.packed_sequences(one, PATH, P.PATTERN, 50256).collect()
+    lengths = sorted(sorted(b - a for a, b in zip(r.cu_seqlens, r.cu_seqlens[1:])) for r in got)
+    assert len(lengths) == len(bins) and sorted(map(sum, lengths)) == sorted(map(sum, bins))
+    assert sorted((d if d is not None else -1, s) for r in got for d, s in zip(r.doc_ids, r.starts)) == sorted((d if d is not None else -1, s) for d, s, _ in pieces)
+
+
+def test_ids_never_wrap(documents):
+    with pytest.raises(ValueError, match="does not fit"):
+        tokenout.packed_sequences(documents, PATH, P.PATTERN, 70_000, id_bytes=2)
+    with pytest.raises(ValueError, match="70000 does not fit"):
+        tokenout.narrowed(np.array([1, 70_000], dtype="<u4"), "<u2")
+    assert tokenout.narrowed(np.array([70_000], dtype="<u4"), "<u4").tolist() == [70_000]
