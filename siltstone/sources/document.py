@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from siltstone.errors import OptionError
 from siltstone.plans import prune
-from siltstone.sources.types import json_text, object_text, parse_type, plain_text
+from siltstone.sources.types import json_text, kind_of, object_text, parse_type, plain_text
 
 if TYPE_CHECKING:
     from siltstone.sources.table import ParquetTable
@@ -44,11 +44,13 @@ class Document:
         filters = list(filters)
         groups = self.groups
         if filters:
-            from siltstone.sources.footers import read_footers
+            from siltstone.sources.footers import survey
             from siltstone.sources.table import FileGroup
 
             paths = [p for g in groups for p in g.paths]
-            kept = {p.path for p in prune.plan(read_footers(self.table.spark, paths, stats=True), filters) if p.groups}
+            kinds = {f.name: kind_of(f.dataType) for f in self.schema.fields}
+            mapped = [f.mapped(f.column, kinds.get(f.column)) for f in filters]
+            kept = {f.path for f in survey(self.table.spark, paths, mapped) if f.groups}
             groups = [FileGroup(g.schema, own) for g in groups if (own := [p for p in g.paths if p in kept])]
         branches = []
         for group in groups:

@@ -18,9 +18,9 @@ from siltstone.errors import CatalogError, OptionError
 from siltstone.plans import prune
 from siltstone.session import configure
 from siltstone.sources.files import table_files
-from siltstone.sources.footers import Footer, read_footer, read_footers
+from siltstone.sources.footers import Footer, Surveyed, read_footer, read_footers, survey
 from siltstone.sources.options import ColumnOptions, TableOptions
-from siltstone.sources.types import parse_type, read_cast
+from siltstone.sources.types import kind_of, parse_type, read_cast
 
 FILE, ROW = "__file", "__row"
 
@@ -136,11 +136,20 @@ class ParquetTable:
             return []
         if self.uniform_files:
             return [FileGroup(self.file_schema(paths[0]), paths)]
+        return self._grouped(survey(self.spark, paths))
+
+    def _grouped(self, files: list[Surveyed]) -> list[FileGroup]:
         by_schema: dict[str, list[str]] = {}
-        for footer in read_footers(self.spark, paths, stats=False):
-            by_schema.setdefault(footer.schema_text, []).append(footer.path)
+        for file in files:
+            by_schema.setdefault(file.schema_text, []).append(file.path)
         return [FileGroup(self.file_schema(own[0]), own) for own in by_schema.values()]
 
+    def surveyed(self, filters: Iterable[prune.Filter]) -> list[Surveyed]:
+        """The files, and what the statistics leave of each under filters on the table's columns."""
+        own = {c.name: c for c in self.columns}
+        mapped = [f.mapped(own[f.column].in_file, kind_of(own[f.column].kind)) if f.column in own else f for f in filters]
+        return survey(self.spark, self.files(), mapped)
+
     def file_schema(self, path: str) -> T.StructType:
         return self.spark.read.parquet(path).schema
 
@@ -171,12 +180,13 @@ class ParquetTable:
             from siltstone.sources.document import Document
 
             return Document(self).df(filters, positions)
-        paths = self.files()
-        if filters and paths:
-            mapped = [f.renamed({c.name: c.in_file for c in self.columns}) for f in filters]
-            paths = [p.path for p in prune.plan(read_footers(self.spark, paths, stats=True), mapped) if p.groups]
-        groups = self.file_groups(paths)
-        schema = self.schema(groups or self.file_groups())
+        if filters:
+            files = self.surveyed(filters)
+            groups = self._grouped([f for f in files if f.groups])
+            schema = self.schema(groups or self._grouped(files))
+        else:
+            groups = self.file_groups()
+            schema = self.schema(groups)
         branches = [self._declared(g, schema, positions) for g in groups]
         if not branches:
             extra = [T.StructField(FILE, T.StringType()), T.StructField(ROW, T.LongType())] if positions else []
@@ -234,8 +244,7 @@ class ParquetTable:
 
     def explain_scan(self, filters: Iterable[prune.Filter] = (), ordered: bool = False) -> prune.ScanPlan:
         """Reader and row groups (from 1) that a scan with these filters keeps."""
-        mapped = [f.renamed({c.name: c.in_file for c in self.columns}) for f in filters]
-        kept = prune.plan(self.footers(stats=True), mapped)
+        kept = [prune.FilePlan(f.path, f.groups, f.all_groups) for f in self.surveyed(filters)]
         return prune.ScanPlan(prune.reader_name(kept, bool(self.options.sorted) and ordered, self.options.max_open_files), kept)
 
     def register(self, view: str | None = None) -> DataFrame:

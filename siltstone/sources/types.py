@@ -50,6 +50,17 @@ def _scalar(plain: str, name: str) -> T.DataType:
     return SCALARS[plain]
 
 
+def kind_of(kind: T.DataType | None) -> str | None:
+    """What statistics of a column of this type are compared as; None for a type that is taken from the file."""
+    if kind is None:
+        return None
+    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return "integer"
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return "timestamp"
+    return kind.typeName()
+
+
 def import_type(kind: T.DataType, column: str) -> str:
     """The declared type that a file's column is imported as."""
     if isinstance(kind, T.ArrayType) and type(kind.elementType) in IMPORT_NAMES:
