@@ -1,8 +1,9 @@
 """Connected components of an edge table, by alternating large and small stars.
 
-Each step joins every edge with the least neighbour of its end, found by a partial aggregate, so a node with very many
-edges is one row on that side and its edges can be split over tasks on the other. Steps end in the shared checkpoint
-folder. Edges never outnumber the input's, and a star-shaped component is done after one step.
+Each step joins every edge with the least neighbour of its end, found by a partial aggregate. Nodes with very many edges
+would gather these in one task; there can only be few of them (each has more than a set share of all edges), so their
+least neighbours are broadcast and their edges stay where they are. Steps end in the shared checkpoint folder. Edges
+never outnumber the input's, and a star-shaped component is done after one step.
 """
 
 from __future__ import annotations
@@ -13,19 +14,31 @@ from pyspark.sql import functions as F
 from siltstone.llm.common import durable
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+#: A node is hot with more edges than this, and than one in so many of all edges; so at most twice that many are hot.
+HOT_EDGES, HOT_SHARE = 1000, 5000
+
+
+def _with_least(edges: DataFrame, least: DataFrame, n_edges: int) -> DataFrame:
+    """edges (a, b) with m of least (a, m, n)."""
+    many = max(HOT_EDGES, n_edges // HOT_SHARE)
+    hot = F.broadcast(least.where(F.col("n") > many).select("a", "m"))
+    cold = least.where(F.col("n") <= many).select("a", "m")
+    return edges.join(hot, "a").union(edges.join(hot, "a", "left_anti").join(cold, "a"))
+
+
+def _large_star(edges: DataFrame, n_edges: int) -> DataFrame:
     """Every neighbour greater than u hangs on the least of u and its neighbours."""
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-    joined = both.where("b > a").join(least, "a")
+    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count("*").alias("n"))
+    joined = _with_least(both.where("b > a"), least, n_edges)
     return joined.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, n_edges: int) -> DataFrame:
     """u and its smaller neighbours hang on the least of these."""
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
-    moved = down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    least = down.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
+    moved = _with_least(down, least, n_edges).select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.union(least.select("a", F.col("m").alias("b"))).where("a <> b")
 
 
@@ -43,7 +56,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     before, state = None, _state(now)
     while state[0] and state != before:
         before = state
-        now = durable(_small_star(_large_star(now)).distinct())
+        now = durable(_small_star(_large_star(now, state[0]), state[0]).distinct())
         state = _state(now)
     roots = now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots)

@@ -12,7 +12,7 @@ the most keys with others, so the original among its variants. Buckets whose oth
 are done. In the others each member is written as its difference from the leader: two members differ from each other in
 at most |d1| + |d2| elements, less two for each element that d1 and d2 share. Two that aren't connected yet, of which
 one isn't linked to the leader, can therefore only be similar if they share more than half of the other's difference;
-so only pairs that share one of its rarer half are compared. That is exact: every pair with a common key is compared,
+so only pairs that share one of its rarer half are compared, and only members of different components meet. That is exact: every pair with a common key is compared,
 connected, or ruled out by these counts, and no bucket is cut short. Hot buckets are spread: leaders and frequencies
 come from partial aggregates, members join them.
 
@@ -220,7 +220,10 @@ def pairs_by_difference(family: DataFrame, percent: int) -> DataFrame:
     # of the elements that these two must share, the rarest is among the first of either that leave room for the others
     least_shared = F.ceil((F.col("da") + F.col("db") - c * (F.col("sa") + F.col("sb"))) / 2 - 1e-9)
     early = (F.col("ka") <= F.col("da") - least_shared + 1) & (F.col("kb") <= F.col("db") - least_shared + 1)
-    found = apart.join(rare, ["leader", "e"]).where("ca <> cb").where(close & early)
+    # members of one component never meet: each is first joined with the other components that have the element
+    others = rare.select("leader", "e", "cb").distinct()
+    across = apart.join(others, ["leader", "e"]).where("ca <> cb")
+    found = across.join(rare, ["leader", "e", "cb"]).where(close & early)
     found = found.select(F.col("na").alias("a"), F.col("nb").alias("b"))
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 

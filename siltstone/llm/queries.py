@@ -54,11 +54,12 @@ WITH space AS (SELECT ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)
 docs AS (SELECT row_number() OVER () AS k, doc_id, text, source FROM documents),
 cut AS (SELECT k, source, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM docs),
 line AS (SELECT k, source, line, i, trim(line, s) AS key FROM cut, space),
-total AS (SELECT source, count(*) AS pages FROM docs GROUP BY source),
-seen AS (SELECT source, key, count(DISTINCT k) AS n FROM line WHERE key <> '' GROUP BY source, key),
+total AS (SELECT source, count(DISTINCT text) AS pages FROM docs GROUP BY source),
+line_of AS (SELECT line.k, line.source, key, text FROM line JOIN docs USING (k)),
+seen AS (SELECT source, key, count(DISTINCT text) AS n FROM line_of WHERE key <> '' GROUP BY source, key),
 bad AS (
   SELECT seen.source, key FROM seen JOIN total ON seen.source IS NOT DISTINCT FROM total.source
-  WHERE n >= 3 AND n > pages * CAST(0.1 AS DOUBLE)
+  WHERE n >= 5 AND n > pages * CAST(0.01 AS DOUBLE)
 ), judged AS (
   SELECT line.k, line.line, i, line.key, bad.key IS NOT NULL AS dropped
   FROM line LEFT JOIN bad ON line.key = bad.key AND line.source IS NOT DISTINCT FROM bad.source

@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pytest
@@ -126,3 +127,29 @@ def test_components(spark):
             parent[q] = p
     got = sorted(map(tuple, connected_components(spark.createDataFrame(edges, "a long, b long")).collect()))
     assert got == sorted((i, root(i)) for i in parent)
+
+
+def test_a_large_family_of_one_component_makes_no_rows(spark):
+    """8,000 members that share a difference from their leader, all connected already, beside one that isn't."""
+    from pyspark.sql import functions as F
+
+    n = 8000
+    family = spark.range(1, n + 1).select(
+        F.lit(0).cast("long").alias("leader"), F.col("id").alias("node"), F.lit(100).cast("long").alias("n"), F.lit(100).cast("long").alias("n2"),
+        F.lit(1).cast("long").alias("component"), F.array(F.lit(5), F.lit(6), *[F.col("id") * 1000 + k for k in range(40)]).cast("array<long>").alias("delta"),
+    )
+    loner = [(0, n + 1, 100, 100, n + 1, [5, 6, *range(7, 40)])]
+    family = family.union(spark.createDataFrame(loner, family.schema))
+    pairs = minhash.pairs_by_difference(family, 80)
+    start = time.monotonic()
+    assert pairs.count() <= 2 * n and time.monotonic() - start < 60
+
+
+def test_hot_nodes_are_split(spark, monkeypatch):
+    from siltstone.llm import components
+
+    monkeypatch.setattr(components, "HOT_EDGES", 20)
+    monkeypatch.setattr(components, "HOT_SHARE", 10)
+    edges = [(0, i) for i in range(1, 400)] + [(i, i + 1000) for i in range(1, 400)] + [(5000, 5001)] + [(i, 399) for i in range(380, 399)]
+    got = dict(map(tuple, connected_components(spark.createDataFrame(edges, "a long, b long")).collect()))
+    assert {n for n, c in got.items() if c == 0} == set(range(400)) | {i + 1000 for i in range(1, 400)} and got[5001] == 5000
