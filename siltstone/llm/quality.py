@@ -1,6 +1,7 @@
 """Line-first quality cleaning.
 
-Every line is judged by itself: does it end like a sentence, is it navigation, is it boilerplate, is it mostly symbols.
+Every line is judged by itself: does it end like a sentence, is it navigation, mostly links, boilerplate or symbols. Marks
+count by their share of the line, so one phrase or a few quotes don't fail a long one.
 Lines that fail are removed, and a document that loses too large a share of its text this way is rejected, as is one
 that fails the base rules (too few words, or too many words inside repeated three-word windows).
 
@@ -23,12 +24,14 @@ from siltstone.llm.common import SPACE_CHARS, SPACE_CLASS, lower_ascii, words
 SYMBOLS = "#*$%&|<>"
 LEAST_WORDS, MOST_REPEATED_PERCENT = 50, 50
 
-#: A line that reads as text ends so, perhaps inside quotes or brackets.
-SENTENCE_END = r"[.!?…:;。！？][\"'”’»)\]]*\z"
-#: Shouted or decorated endings: this many or more mark a line as none of prose.
-SHOUT, MOST_SHOUTS = "!!", 3
-#: Between the items of menus and tables.
-SEPARATORS, MOST_SEPARATORS = "|›»•·", 3
+#: A line that reads as text ends so (Latin, Arabic, Devanagari, Ethiopic, Burmese, Khmer, Armenian, CJK), perhaps inside
+#: quotes or brackets.
+SENTENCE_END = r"[.!?…:;؟۔।॥።။។։。！？．｡][\"'”’»)\]]*\z"
+#: Marks of lines that aren't prose. So many of them, and one for every so many characters of words, fail a line; so a
+#: long line isn't lost for a few.
+SHOUT, SEPARATOR, LINK = "!!", "[|•·]| [›»] ", r"(?i)https?://|www\."
+LEAST_SHOUTS, LEAST_SEPARATORS, LEAST_LINKS = 3, 3, 1
+CHARS_A_SHOUT, CHARS_A_SEPARATOR, CHARS_A_LINK, CHARS_A_PHRASE = 50, 50, 40, 150
 #: Of all characters but white space, in percent.
 MOST_SYMBOL_PERCENT = 10
 #: Phrases of lines that belong to a site and not to its text.
@@ -54,26 +57,31 @@ BOILERPLATE = (
 MOST_LOST_PERCENT = 50
 
 
+#: What a line without any of these can't fail by, besides its end.
+SUSPECT = f"(?i){SHOUT}|[{SYMBOLS}•·›»]|https?://|www\\.|" + "|".join(BOILERPLATE)
+
+
 def visible(text: Column) -> Column:
     """Code points that are in words."""
     return F.length(F.translate(text, SPACE_CHARS, ""))
 
 
-def count_of(text: Column, characters: str) -> Column:
-    return F.length(text) - F.length(F.translate(text, characters, ""))
+def count_of(text: Column, expression: str) -> Column:
+    return F.regexp_count(text, F.lit(expression))
 
 
 def line_fails(line: Column) -> Column:
     """The verdict on one line that has a word."""
-    end = F.rtrim(line, F.lit(SPACE_CHARS))
-    shouts = (F.length(line) - F.length(F.replace(line, F.lit(SHOUT), F.lit("")))) / len(SHOUT)
-    return (
-        ~end.rlike(SENTENCE_END)
-        | (shouts >= MOST_SHOUTS)
-        | (count_of(line, SEPARATORS) >= MOST_SEPARATORS)
-        | lower_ascii(line).rlike("|".join(BOILERPLATE))
-        | (count_of(line, SYMBOLS) * 100 > visible(line) * MOST_SYMBOL_PERCENT)
+    seen = visible(line)
+    dense = lambda n, least, chars: (n >= least) & (n * chars >= seen)
+    marked = (
+        dense(count_of(line, SHOUT), LEAST_SHOUTS, CHARS_A_SHOUT)
+        | dense(count_of(line, SEPARATOR), LEAST_SEPARATORS, CHARS_A_SEPARATOR)
+        | dense(count_of(line, LINK), LEAST_LINKS, CHARS_A_LINK)
+        | dense(count_of(line, "(?i)" + "|".join(BOILERPLATE)), 1, CHARS_A_PHRASE)
+        | (count_of(line, f"[{SYMBOLS}]") * 100 > seen * MOST_SYMBOL_PERCENT)
     )
+    return ~F.rtrim(line, F.lit(SPACE_CHARS)).rlike(SENTENCE_END) | F.when(line.rlike(SUSPECT), marked).otherwise(F.lit(False))
 
 
 def has_word(line: Column) -> Column:
@@ -118,16 +126,19 @@ def judge(df: DataFrame, id_column: str = "doc_id", text_column: str = "text", k
     t = F.col("t")
     own = own.withColumn("w", words(t)).withColumn("lines", F.split(t, "\n", -1))
     own = own.withColumn("n_words", F.size("w").cast("long"))
+    # every line with its verdict, worked out once
+    bad = lambda line: has_word(line) & line_fails(line)
+    own = own.withColumn("marked", F.transform("lines", lambda line: F.struct(line.alias("line"), bad(line).alias("bad"))))
     own = own.withColumn("full", F.filter("lines", has_word))
-    own = own.withColumn("failed", F.filter("full", line_fails))
+    own = own.withColumn("failed", F.transform(F.filter("marked", lambda x: x["bad"]), lambda x: x["line"]))
     own = repeated_words(own, "w", "n_repeat_words")
     lost = F.aggregate(F.col("failed"), F.lit(0).cast("long"), lambda total, line: total + visible(line))
     base_failed = (F.col("n_words") < LEAST_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MOST_REPEATED_PERCENT)
     columns = [
         "doc_id",
         "n_words",
-        visible(t).cast("long").alias("word_chars"),
-        count_of(t, SYMBOLS).cast("long").alias("n_symbols"),
+        F.length(F.array_join("w", "")).cast("long").alias("word_chars"),
+        count_of(t, f"[{SYMBOLS}]").cast("long").alias("n_symbols"),
         (F.size("full") - F.size(F.array_distinct("full"))).cast("long").alias("n_dup_lines"),
         "n_repeat_words",
         base_failed.alias("base_failed"),
@@ -136,7 +147,7 @@ def judge(df: DataFrame, id_column: str = "doc_id", text_column: str = "text", k
         lost.alias("lost_chars"),
     ]
     if keep_text:
-        clean = F.array_join(F.filter("lines", lambda line: ~(has_word(line) & line_fails(line))), "\n")
+        clean = F.array_join(F.transform(F.filter("marked", lambda x: ~x["bad"]), lambda x: x["line"]), "\n")
         columns += [F.when(F.size("failed") == 0, t).otherwise(clean).alias("clean_text"), "row"]
     judged = own.select(*columns)
     enough = F.col("lost_chars") * 100 <= F.col("word_chars") * MOST_LOST_PERCENT

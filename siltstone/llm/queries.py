@@ -100,20 +100,32 @@ WITH RECURSIVE rules(verdict, host, path) AS (
       lambda t: regexp_matches(t, '(?i)\shttp-equiv\s*=\s*["'']?refresh\b')),
       lambda t: regexp_extract(t, '(?i);\s*url\s*=\s*[''"]?([^"''\s>]+)', 1)))) AS target
   FROM pages WHERE contains(url, '://') AND html IS NOT NULL
-), parts AS (
-  SELECT *, regexp_extract(url, '^(.*?://[^/?#]*)', 1) AS root,
-         regexp_extract(url, '^(.*?://[^/?#]*(?:[^?#]*/)?)', 1) AS folder
+), cleaned AS (
+  SELECT url, regexp_extract(url, '^(.*?://[^/?#]*)', 1) AS root, regexp_extract(url, '://[^/?#]*([^?#]*)', 1) AS own,
+         regexp_replace(replace(replace(replace(replace(replace(target, '&quot;', '"'), '&#39;', ''''), '&#x27;', ''''), '&#38;', '&'), '&amp;', '&'), '#.*$', '') AS target
   FROM found WHERE target <> ''
+), parts AS (
+  SELECT *, regexp_replace(target, '\?.*$', '') AS rel, regexp_extract(target, '(\?.*)$', 1) AS rest FROM cleaned WHERE target <> ''
+), paths AS (
+  SELECT *, CASE WHEN starts_with(rel, '/') THEN rel WHEN rel = '' THEN own
+    ELSE '/' || regexp_extract(own, '^/(.*/)?', 1) || rel END AS path FROM parts
+), resolved AS (
+  SELECT *, CASE WHEN NOT regexp_matches(path, '/\.\.?(/|$)') THEN path ELSE
+    coalesce(nullif(list_reduce(list_prepend('', string_split(path, '/')[2:]),
+      lambda acc, x: CASE x WHEN '..' THEN regexp_replace(acc, '/[^/]*$', '') WHEN '.' THEN acc ELSE acc || '/' || x END)
+      || CASE WHEN string_split(path, '/')[-1] IN ('.', '..') THEN '/' ELSE '' END, ''), '/') END AS straight FROM paths
 ), whole AS (
-  SELECT url, CASE WHEN contains(target, '://') THEN target
-    WHEN starts_with(target, '//') THEN regexp_extract(url, '^(.*?:)//', 1) || target
-    WHEN starts_with(target, '/') THEN root || target
-    ELSE folder || CASE WHEN folder = root THEN '/' ELSE '' END || target END AS target
-  FROM parts
-), nodes AS (
-  SELECT lower(regexp_extract(url, '^(.*?://[^/?#]*)', 1)) || regexp_extract(url, '://[^/?#]*([^#]*)', 1) AS a,
-         lower(regexp_extract(target, '^(.*?://[^/?#]*)', 1)) || regexp_extract(target, '://[^/?#]*([^#]*)', 1) AS b
+  SELECT url, CASE WHEN regexp_matches(target, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN target
+    WHEN starts_with(target, '//') THEN 'x:' || target ELSE root || straight || rest END AS target
+  FROM resolved
+), split AS (
+  SELECT lower(regexp_extract(url, '://([^/?#]*)', 1)) AS h1, regexp_extract(url, '://[^/?#]*([^#]*)', 1) AS p1,
+         lower(regexp_extract(target, '://([^/?#]*)', 1)) AS h2, regexp_extract(target, '://[^/?#]*([^#]*)', 1) AS p2
   FROM whole
+), nodes AS (
+  SELECT '://' || h1 || CASE WHEN starts_with(p1, '/') THEN '' ELSE '/' END || p1 AS a,
+         '://' || h2 || CASE WHEN starts_with(p2, '/') THEN '' ELSE '/' END || p2 AS b
+  FROM split
 ), edges AS (
   SELECT a, b FROM nodes WHERE a <> b UNION SELECT b, a FROM nodes WHERE a <> b
 ), reach AS (
@@ -131,7 +143,8 @@ WITH RECURSIVE rules(verdict, host, path) AS (
 ), own AS (
   SELECT row_number() OVER () AS k, page_id, coalesce(lower(regexp_extract(url, '://([^/?#]*)', 1)), '') AS host,
          coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path,
-         lower(regexp_extract(url, '^(.*?://[^/?#]*)', 1)) || regexp_extract(url, '://[^/?#]*([^#]*)', 1) AS node
+         '://' || lower(regexp_extract(url, '://([^/?#]*)', 1)) || CASE WHEN starts_with(regexp_extract(url, '://[^/?#]*([^#]*)', 1), '/') THEN '' ELSE '/' END
+         || regexp_extract(url, '://[^/?#]*([^#]*)', 1) AS node
   FROM pages
 ), own_rule AS (
   SELECT o.k, arg_max(r.host || r.path, length(r.host || r.path) * 2 + CAST(r.verdict = 'allow' AS INTEGER)) AS rule,
@@ -144,6 +157,21 @@ FROM own LEFT JOIN own_rule USING (k) LEFT JOIN spread s ON own.node = s.node
 """
 
 
+#: Html for url_aliases: pages of every third id point to the next one's url, of every seventh to another by a refresh.
+ALIAS_PAGES = """
+SELECT p.page_id, p.url, concat(
+  CASE WHEN p.page_id % 3 = 0 AND n.url IS NOT NULL THEN concat('<link rel="canonical" href="', n.url, '">') ELSE '' END,
+  CASE WHEN p.page_id % 7 = 0 THEN '<meta http-equiv=refresh content="0; url=../de/x.html?a=1&amp;b=2">' ELSE '' END) AS html
+FROM pages p LEFT JOIN (SELECT page_id - 1 AS k, min(url) AS url FROM pages GROUP BY page_id) n ON p.page_id = n.k
+"""
+
+
+def url_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op4 over pages that are linked, so that components decide: the table's own html holds no redirects."""
+    load(spark, sf_dir, "pages", "page_id", "url").createOrReplaceTempView("pages_of_url_aliases")
+    return urls.judge_urls(spark.sql(ALIAS_PAGES.replace("FROM pages", "FROM pages_of_url_aliases")), RULES)
+
+
 def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(pii.find_personal_data(load(spark, sf_dir, "documents", "doc_id", "text")))
 
@@ -187,13 +215,14 @@ win AS (SELECT k, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g FROM (SELEC
 twice AS (SELECT k, g FROM win GROUP BY k, g HAVING count(*) > 1),
 spot AS (SELECT DISTINCT k, i + o AS p FROM win JOIN twice USING (k, g), (VALUES (0), (1), (2)) v(o)),
 again AS (SELECT k, count(*) AS n FROM spot GROUP BY k),
-line AS (SELECT k, l FROM (SELECT k, unnest(string_split(t, chr(10))) AS l FROM docs) WHERE regexp_matches(l, '[^\x20\x09-\x0D]')),
+line AS (SELECT k, l, translate(l, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low FROM (SELECT k, unnest(string_split(t, chr(10))) AS l FROM docs) WHERE regexp_matches(l, '[^\x20\x09-\x0D]')),
 judged AS (
   SELECT k, l, length(translate(l, space, '')) AS seen,
-    NOT regexp_matches(rtrim(l, space), '[.!?…:;。！？]["''”’»)\]]*$')
-    OR length(l) - length(replace(l, '!!', '')) >= 6
-    OR length(l) - length(translate(l, '|›»•·', '')) >= 3
-    OR regexp_matches(translate(l, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), 'BOILERPLATE')
+    NOT regexp_matches(rtrim(l, space), '[.!?…:;؟۔।॥።။។։。！？．｡]["''”’»)\]]*$')
+    OR (len(regexp_extract_all(l, '!!')) >= 3 AND len(regexp_extract_all(l, '!!')) * 50 >= length(translate(l, space, '')))
+    OR (len(regexp_extract_all(l, '[|•·]| [›»] ')) >= 3 AND len(regexp_extract_all(l, '[|•·]| [›»] ')) * 50 >= length(translate(l, space, '')))
+    OR (len(regexp_extract_all(low, 'https?://|www\.')) >= 1 AND len(regexp_extract_all(low, 'https?://|www\.')) * 40 >= length(translate(l, space, '')))
+    OR (len(regexp_extract_all(low, 'BOILERPLATE')) >= 1 AND len(regexp_extract_all(low, 'BOILERPLATE')) * 150 >= length(translate(l, space, '')))
     OR (length(l) - length(translate(l, '#*$%&|<>', ''))) * 100 > length(translate(l, space, '')) * 10 AS fails
   FROM line, c
 ), page AS (
@@ -224,8 +253,9 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode.round_trip_digests(documents, path, public_tokenizers.PATTERN, "doc_id", "text")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_exact_topk, op2_best_fit_packing, op3_line_dedup, op4_url_filters, op5_personal_data, op6_near_duplicates, op7_language, op8_quality, op9_token_matrices, op10_byte_bpe)}
-SQL: dict[str, str] = {"op1_exact_topk": OP1_SQL, "op3_line_dedup": OP3_SQL, "op4_url_filters": OP4_SQL, "op6_near_duplicates": OP6_SQL, "op8_quality": OP8_SQL}
+ALIAS_SQL = OP4_SQL.replace("WITH RECURSIVE rules", f"WITH RECURSIVE linked AS ({ALIAS_PAGES}), rules").replace("FROM pages WHERE", "FROM linked WHERE").replace("FROM pages\n), own_rule", "FROM linked\n), own_rule")
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_exact_topk, op2_best_fit_packing, op3_line_dedup, op4_url_filters, op5_personal_data, op6_near_duplicates, op7_language, op8_quality, op9_token_matrices, op10_byte_bpe, url_aliases)}
+SQL: dict[str, str] = {"op1_exact_topk": OP1_SQL, "op3_line_dedup": OP3_SQL, "op4_url_filters": OP4_SQL, "url_aliases": ALIAS_SQL, "op6_near_duplicates": OP6_SQL, "op8_quality": OP8_SQL}
 
 
 def queries() -> dict[str, Query]:

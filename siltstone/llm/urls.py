@@ -8,11 +8,14 @@ with a blocked url blocks its members that no rule decides, unless it also has a
 allow takes precedence over propagation. A rule's own verdict is never overturned. What nothing decides is allowed.
 
 Only built-in functions and joins: links are read in one pass over the html, and only urls that have links enter the
-iterations. Nodes are whole urls without fragment, compared as text (host in lower case), so nothing rests on hashes.
+iterations. Nodes are whole urls without scheme and fragment, compared as text (host in lower case, an empty path as
+`/`), so nothing rests on hashes, and http and https of one address are one node.
 
 Cases: a null url, or one without `://`, has an empty host and path, no rule and no aliases, and is allowed. Null or
 empty html has no links. Repeated rows are judged each. Links of a page to itself don't count. Very long pages are one
-row of one projection. Relative targets are taken against the page's url. An empty table gives an empty result.
+row of one projection. Relative targets are taken against the page's url, with `&amp;` and the like read as characters
+and `.` and `..` resolved; a target that is only a query keeps the page's path. An empty table gives an empty result. All
+other columns of the pages are ignored.
 """
 
 from __future__ import annotations
@@ -51,9 +54,35 @@ def path_of(url: Column) -> Column:
 
 
 def node_of(url: Column) -> Column:
-    """The url as a node: scheme and host in lower case, without fragment; null where there is no `://`."""
-    head = lower_ascii(F.regexp_extract(url, r"^(.*?://[^/?#]*)", 1))
-    return F.when(F.contains(url, F.lit("://")), F.concat(head, F.regexp_extract(url, r"://[^/?#]*([^#]*)", 1)))
+    """The url as a node `://host/path?query`; null where there is no `://`."""
+    rest = F.regexp_extract(url, r"://[^/?#]*([^#]*)", 1)
+    rest = F.when(F.startswith(rest, F.lit("/")), rest).otherwise(F.concat(F.lit("/"), rest))
+    return F.when(F.contains(url, F.lit("://")), F.concat(F.lit("://"), host_of(url), rest))
+
+
+#: Entities that stand in attributes of links.
+ENTITIES = (("&quot;", '"'), ("&#39;", "'"), ("&#x27;", "'"), ("&#38;", "&"), ("&amp;", "&"))
+
+
+def plain(target: Column) -> Column:
+    for entity, character in ENTITIES:
+        target = F.replace(target, F.lit(entity), F.lit(character))
+    return target
+
+
+def without_dots(path: Column) -> Column:
+    """A path that starts with `/`, its segments `.` and `..` resolved."""
+    parts = F.split(path, "/", -1)
+    none = F.array().cast("array<string>")
+
+    def step(done: Column, part: Column) -> Column:
+        up = F.when(F.size(done) > 1, F.slice(done, 1, F.size(done) - 1)).otherwise(done)
+        return F.when(part == "..", up).when(part == ".", done).otherwise(F.concat(done, F.array(part)))
+
+    folder = F.when(F.element_at(parts, -1).isin(".", ".."), F.lit("/")).otherwise(F.lit(""))
+    resolved = F.concat(F.array_join(F.aggregate(parts, none, step), "/"), folder)
+    resolved = F.when(F.startswith(resolved, F.lit("/")), resolved).otherwise(F.concat(F.lit("/"), resolved))
+    return F.when(path.rlike(r"/\.\.?(/|$)"), resolved).otherwise(path)
 
 
 def rule_for(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
@@ -75,16 +104,19 @@ def links(pages: DataFrame, url_column: str = "url", html_column: str = "html")
     found = F.concat(tags(LINK_TAG, CANONICAL, HREF), tags(META_TAG, REFRESH, TARGET))
     linked = html.rlike("(?i)canonical|refresh") & F.contains(url, F.lit("://"))
     rows = pages.where(linked).select(url.alias("url"), F.explode(found).alias("target")).where("target <> ''")
+    rows = rows.withColumn("target", plain(F.col("target")))
     root = F.regexp_extract("url", r"^(.*?://[^/?#]*)", 1)
-    folder = F.regexp_extract("url", r"^(.*?://[^/?#]*(?:[^?#]*/)?)", 1)
-    target = F.col("target")
+    own_path, target = path_of(F.col("url")), F.regexp_replace("target", "#.*$", "")
+    folder = F.concat(F.lit("/"), F.regexp_extract(own_path, "^/(.*/)?", 1))
+    rest = F.regexp_extract(target, r"(\?.*)$", 1)
+    relative = F.regexp_replace(target, r"\?.*$", "")
+    path = F.when(F.startswith(relative, F.lit("/")), relative).when(relative == "", own_path).otherwise(F.concat(folder, relative))
     absolute = (
-        F.when(F.contains(target, F.lit("://")), target)
-        .when(F.startswith(target, F.lit("//")), F.concat(F.regexp_extract("url", r"^(.*?:)//", 1), target))
-        .when(F.startswith(target, F.lit("/")), F.concat(root, target))
-        .otherwise(F.concat(folder, F.when(folder == root, F.lit("/")).otherwise(F.lit("")), target))
+        F.when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), target)
+        .when(F.startswith(target, F.lit("//")), F.concat(F.lit("x:"), target))
+        .otherwise(F.concat(root, without_dots(path), rest))
     )
-    return rows.select(node_of(F.col("url")).alias("a"), node_of(absolute).alias("b")).where("a <> b")
+    return rows.where(target != "").select(node_of(F.col("url")).alias("a"), node_of(absolute).alias("b")).where("a <> b")
 
 
 def judge_urls(

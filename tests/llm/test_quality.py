@@ -12,11 +12,13 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 def fails(line):
     seen = re.sub(r"[\x20\x09-\x0D]", "", line)
     low = "".join(c.lower() if "A" <= c <= "Z" else c for c in line)
+    dense = lambda n, least, chars: n >= least and n * chars >= len(seen)
     return (
-        not re.search(r"[.!?…:;。！？][\"'”’»)\]]*\Z", line.rstrip(" \t\n\x0b\x0c\r"))
-        or line.count("!!") >= 3
-        or sum(c in "|›»•·" for c in line) >= 3
-        or any(p in low for p in quality.BOILERPLATE)
+        not re.search(r"[.!?…:;؟۔।॥።။។։。！？．｡][\"'”’»)\]]*\Z", line.rstrip(" \t\n\x0b\x0c\r"))
+        or dense(line.count("!!"), 3, 50)
+        or dense(len(re.findall("[|•·]| [›»] ", line)), 3, 50)
+        or dense(len(re.findall(r"https?://|www\.", low)), 1, 40)
+        or dense(len(re.findall("|".join(quality.BOILERPLATE), low)), 1, 150)
         or sum(c in "#*$%&|<>" for c in line) * 100 > 10 * len(seen)
     )
 
@@ -45,6 +47,9 @@ def texts():
     yield from (clean(80) + "\nHome | About | News | Contact\nAll rights reserved.", "%%% ".join(["aa"] * 70) + ".")
     for _ in range(60):
         yield "".join(rng.choices(["aa ", "bb ", "cc ", "d", ". ", ".\n", "\n", "|", "%", "!! ", "\x0b", "\x85"], k=rng.randrange(1, 400)))
+    for _ in range(60):
+        parts = ["aa bb ", "longer words here ", "!!", " | ", " » ", "»", "·", "https://x.y ", "WWW.", "Terms of Use ", "powered by ", "#", ". ", ".\n", "؟\n", "।\n"]
+        yield "".join(rng.choices(parts, weights=[9, 9] + [1] * 14, k=rng.randrange(20, 400)))
     yield clean(30000)
     yield "ab cd ef " * 20000
 
@@ -73,3 +78,12 @@ def test_no_python_and_no_shuffle(spark, sf_dir):
     judged = quality.judge(df).join(labelled.select("doc_id", "quality"), "doc_id")
     shares = {r["quality"]: r["s"] for r in judged.where("n_words >= 50").groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("s")).collect()}
     assert shares[1] > 0.97 and shares[0] < 0.5
+
+
+def test_marks_count_by_the_length_of_the_line(spark):
+    prose = " ".join(f"word{i}" for i in range(120))
+    good = [f"{prose} terms of use {prose}.", f"«Oui», «non», «si» et «bien» {prose}.", f"{prose}!! {prose}!! {prose}!! ok.", "यह एक वाक्य है।", "هل هذا سؤال؟", "یہ ایک جملہ ہے۔", f"See https://a.b for {prose}."]
+    bad = ["Terms of use.", "Home » News » Sport » More.", "A | B | C | D.", "BUY!! NOW!! OK!!", "https://a.b/c.", "no end"]
+    df = spark.createDataFrame([(i, line) for i, line in enumerate(good + bad)], "doc_id long, text string")
+    got = {r.doc_id: r.n_failed_lines for r in quality.judge(df).collect()}
+    assert [got[i] for i in range(len(good + bad))] == [0] * len(good) + [1] * len(bad)
