@@ -1,32 +1,37 @@
 """Personal data: base patterns, and contextual extraction bootstrapped from what they find.
 
-Base spans are the leftmost matches of one expression a kind, kept if they pass that kind's test. They seed the method:
-the two words before a span are a lexical pattern, its text an instance, and both form a graph over the whole corpus
-together with every other token that looks like an identifier. In rounds a pattern is scored by the share of its
-distinct instances that are known to be of one kind, an unknown instance by the patterns that lead to it, and instances
-of a high score become known, until a round finds none. Unseen identifiers that follow a pattern of high confidence are added as spans of its
-kind. Base spans always stay.
-
-Everything is built from DataFrame functions. Texts are read in one narrow pass; only distinct (pattern, instance)
-pairs and few columns a document are shuffled, never texts. Scores come from partial aggregates, so a pattern that a
-third of all tokens follow is one row to the rest of the plan.
+Base spans are the leftmost matches of one expression a kind, kept if they pass that kind's test. They seed the method,
+together with a fifth kind that only context can confirm: secrets, whose seeds are long tokens of mixed letters and
+digits. Texts are read as tokens: words with what is inside them, runs of digit groups with blanks or brackets between
+them, and the punctuation in between. Every token, whatever it looks like, is a possible instance of the lexical patterns
+around it: the two tokens before it; the one before with the one after; the one before with the token's own shape. In
+rounds a pattern is scored by the share of its distinct instances that are known to be of one kind, an unknown instance
+by the patterns that lead to it, and instances of a high score become known, until a round finds none. The two looser
+kinds of pattern need more instances and a smoothed share. Unseen tokens in a pattern of high confidence are added as
+spans of its kind. Base spans always stay.
+
+The graph holds only what can matter: patterns with enough known instances are the frontier, and all that follows one of
+them anywhere is gathered by a pass over the texts, so that a share counts every word there. New instances widen the
+frontier by a second pass. Everything is built from DataFrame functions. Only distinct (pattern, token) pairs of the
+frontier and few columns a document are shuffled, never texts; they are aggregated partially first, so a pattern that a
+third of all tokens follow is one row to the rest of the plan. Places are worked out for texts with hits alone.
 
 The expressions are written so that they take linear time on any text: no run is entered twice and no repeated group
 recurses. They match what the plain forms in the comments match.
 
 Cases: a null text counts as empty: no spans. Repeated rows each get their spans. Touching base matches of one kind
-follow each other; matches of different kinds may overlap. Ties between kinds of a pattern go to the kind listed
-first. An empty table gives an empty result. Other columns are ignored.
+follow each other; matches of different kinds may overlap. An added span never overlaps a base span. Ties between kinds
+of a pattern go to the kind listed first. An empty table gives an empty result. Other columns are ignored.
 """
 
 from __future__ import annotations
 
 import itertools
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import SPACE_CLASS, durable, lower_ascii
+from siltstone.llm.common import durable
 
 KINDS = ("email", "ip", "card", "phone")
 EXPRESSIONS = {
@@ -39,14 +44,23 @@ EXPRESSIONS = {
     # \+[0-9][\x20().0-9-]+[0-9]
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-#: Tokens with a digit that could be an identifier no base expression knows, of so many characters at least.
-TOKEN = r"(?<![A-Za-z0-9@._%+-])[A-Za-z@._%+-]*+[0-9][A-Za-z0-9@._%+-]*+"
-TOKEN_TAIL, LEAST_TOKEN = "@._%+-", 6
-#: The pattern of a span: the last two words within so many characters before it.
-CONTEXT_CHARS = 64
-CONTEXT = rf"({SPACE_CLASS.replace('[', '[^')}+){SPACE_CLASS}+({SPACE_CLASS.replace('[', '[^')}+){SPACE_CLASS}*$"
-#: A pattern of confidence: so many known instances of one kind, and this share of all its instances.
+#: Seeds of secrets: this many letters and digits, of both, without a blank.
+SECRET = r"^(?=[^0-9]*+[0-9])(?=[^A-Za-z]*+[A-Za-z])[A-Za-z0-9+/_=-]{24,}+$"
+#: All kinds, in the order of spans.
+ALL_KINDS = (*KINDS, "secret")
+_GROUP = r"\(?[0-9][0-9.()-]*+"
+#: Tokens: runs of digit groups; from the first to the last letter or digit of a word; other characters.
+TOKEN = (
+    rf"\+?{_GROUP}(?:[ ]{_GROUP}){{1,8}}+(?![\p{{L}}\p{{N}}@_])"
+    r"|[\p{L}\p{N}@+_](?:[^\s]*[\p{L}\p{N}_)])?+"
+    r"|[^\s\p{L}\p{N}@+_]++"
+)
+#: A pattern of two tokens before: so many known instances of one kind, and this share of all its instances.
 LEAST_SUPPORT, LEAST_SCORE = 3, 0.7
+#: The looser patterns: so many, and the share with so many unknown ones more.
+LOOSE_SUPPORT, LOOSE_MORE = 5, 3
+#: Rows of patterns or instances that are still broadcast.
+BROADCAST_ROWS = 100_000
 MATCHES = "array<struct<s:long,e:long,v:string>>"
 SPAN = "struct<kind:string,start:long,end:long>"
 
@@ -96,76 +110,127 @@ def as_spans(found: Column, kind: Column) -> Column:
     return F.transform(found, lambda m: F.struct(kind.alias("kind"), m["s"].alias("start"), m["e"].alias("end")))
 
 
-def context(text: Column, start: Column) -> Column:
-    """The pattern before a position, in lower case; empty if there are less than two words."""
-    left = F.substr(text, F.greatest(start - CONTEXT_CHARS + 1, F.lit(1)).cast("int"), F.least(start, F.lit(CONTEXT_CHARS)).cast("int"))
-    two = F.concat_ws(" ", F.regexp_extract(left, CONTEXT, 1), F.regexp_extract(left, CONTEXT, 2))
-    return F.when(two == " ", "").otherwise(lower_ascii(two))
+def text_key(text: Column) -> Column:
+    """What a text is known by."""
+    return F.concat_ws(":", F.md5(text.cast("binary")), F.length(text))
 
 
 def scan(df: DataFrame, text: Column, *keep: Column) -> DataFrame:
-    """One pass over the texts: `keep`, `th` (what a text is known by), `spans` of (kind, s, e, v, ctx) and `tokens`
-    of (s, e, v, ctx)."""
-    own = df.select(*keep, F.coalesce(text.cast("string"), F.lit("")).alias("_t"))
-    t = F.col("_t")
-    able = {"email": F.contains(t, F.lit("@")), "phone": F.contains(t, F.lit("+"))}
-    own = own.withColumn("_d", t.rlike("[0-9]"))
-    for kind in KINDS:
-        raw = F.when(able.get(kind, F.col("_d")), matches(t, EXPRESSIONS[kind]))
-        own = own.withColumn(f"_{kind}", tested(raw, kind))
-    own = own.withColumn("_token", F.when(F.col("_d"), matches(t, TOKEN)))
-    empty = lambda c: F.coalesce(F.col(c), F.array().cast(MATCHES))
-    named = lambda kind: F.transform(
-        empty(f"_{kind}"),
-        lambda m: F.struct(F.lit(kind).alias("kind"), m["s"].alias("s"), m["e"].alias("e"), m["v"].alias("v"), context(t, m["s"]).alias("ctx")),
-    )
-    own = own.withColumn("spans", F.concat(*map(named, KINDS)))
-    bare = F.transform(
-        empty("_token"),
-        lambda m: F.struct(m["s"].alias("s"), (m["s"] + F.length(F.rtrim(m["v"], F.lit(TOKEN_TAIL)))).alias("e"), F.rtrim(m["v"], F.lit(TOKEN_TAIL)).alias("v")),
-    )
-    free = F.filter(
-        bare,
-        lambda m: (F.length(m["v"]) >= LEAST_TOKEN) & ~F.exists("spans", lambda x: (x["s"] < m["e"]) & (x["e"] > m["s"])),
-    )
-    tokens = F.transform(free, lambda m: F.struct(m["s"].alias("s"), m["e"].alias("e"), m["v"].alias("v"), context(t, m["s"]).alias("ctx")))
-    own = own.withColumn("tokens", tokens)
-    return own.withColumn("th", F.concat_ws(":", F.md5(t.cast("binary")), F.length(t))).select(
-        *[c for c in own.columns if not c.startswith("_")], "th"
+    """One pass over the texts: `keep`, the text `t`, `th` (what it is known by), and `base`, an array of SPAN."""
+    t = F.coalesce(text.cast("string"), F.lit(""))
+    own = df.select(*keep, t.alias("t"))
+    none = F.array().cast(f"array<{SPAN}>")
+    return own.withColumn("th", text_key(F.col("t"))).withColumn("base", F.coalesce(base_spans(F.col("t")), none))
+
+
+def seed_kind(v: Column) -> Column:
+    """The kind that a token is by itself; null for most."""
+    out = F.when(F.length(v) >= 24, F.when(v.rlike(SECRET), F.lit("secret")))
+    for kind in reversed(KINDS):
+        found = F.regexp_extract(v, EXPRESSIONS[kind], 0)
+        out = F.when((found != "") & passes(kind, found), F.lit(kind)).otherwise(out)
+    return F.when(v.rlike("[0-9@]"), out)
+
+
+def tokens_of(texts: DataFrame, *keep: str, only=None) -> DataFrame:
+    """Rows (keep, i, l2, l1, v, r1): every token, its place, and its neighbours in lower case. `only` picks some by
+    (v, l1); their i is then without meaning."""
+    w, n = F.col("w"), F.size("w")
+    own = texts.select(*keep, F.regexp_extract_all("t", F.lit(TOKEN), F.lit(0)).alias("w"))
+    edge = F.array(F.lit(""))
+    low = F.transform(w, lambda x: F.lower(x))
+    own = own.select(*keep, "w", F.concat(edge, edge, low, edge).alias("c"))
+    rows = F.arrays_zip(F.slice("c", 1, n).alias("l2"), F.slice("c", 2, n).alias("l1"), w.alias("v"), F.slice("c", 4, n).alias("r1"))
+    rows = rows if only is None else F.filter(rows, lambda x: only(x["v"]))
+    return own.select(*keep, F.posexplode(rows).alias("i", "x")).select(*keep, "i", "x.*")
+
+
+def with_patterns(rows: DataFrame) -> DataFrame:
+    """One row for each pattern `p` that a token stands in, which starts with its sort."""
+    l2, l1, v, r1 = (F.col(c) for c in ("l2", "l1", "v", "r1"))
+    shape = F.regexp_replace(F.regexp_replace(v, "[0-9]", "9"), r"\p{L}", "a")
+    found = F.array(
+        F.when(l2 != "", F.concat(F.lit("2 "), l2, F.lit(" "), l1)),
+        F.when((l1 != "") & (r1 != ""), F.concat(F.lit("r "), l1, F.lit(" "), r1)),
+        F.when((l1 != "") & v.rlike("[0-9@]"), F.concat(F.lit("s "), l1, F.lit(" "), shape)),
     )
+    return rows.withColumn("p", F.explode(F.filter(found, lambda x: x.isNotNull())))
+
+
+def _small(df: DataFrame) -> DataFrame:
+    """df, broadcast where a count allows it."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
+def _followers(texts: DataFrame, patterns: DataFrame, *keep: str) -> DataFrame:
+    """Rows (keep, p, l1, v) of all tokens that stand in one of patterns (p, l1, ...), with the columns of patterns."""
+    words = _small(patterns.select("l1").distinct())
+    near = with_patterns(tokens_of(texts, *keep).join(words, "l1", "left_semi"))
+    return near.select(*keep, "p", "v").join(_small(patterns), "p")
+
+
+def _frontier(pairs: DataFrame) -> DataFrame:
+    """Patterns (p, l1) with enough distinct known instances of one kind, from pairs (p, l1, v, kind)."""
+    counts = pairs.groupBy("p", "l1", "kind").agg(F.count_distinct("v").alias("n"))
+    return counts.where(F.col("n") >= LEAST_SUPPORT).select("p", "l1").distinct()
+
+
+def _scored(graph: DataFrame) -> DataFrame:
+    """Confident patterns (p, l1, k, score) of the graph (p, l1, v, kind)."""
+    by_kind = F.array_sort(F.array(*[F.struct((-F.count(F.when(F.col("kind") == k, 1))).alias("n"), F.lit(i).alias("i")) for i, k in enumerate(ALL_KINDS)]))
+    scored = graph.groupBy("p", "l1").agg(F.count("*").alias("n"), by_kind[0].alias("best"))
+    scored = scored.withColumn("known", -F.col("best.n"))
+    tight = F.startswith(F.col("p"), F.lit("2 "))
+    scored = scored.withColumn("score", F.col("known") / (F.col("n") + F.when(tight, 0).otherwise(LOOSE_MORE)))
+    enough = F.col("known") >= F.when(tight, LEAST_SUPPORT).otherwise(LOOSE_SUPPORT)
+    kind = F.element_at(F.array(*map(F.lit, ALL_KINDS)), F.col("best.i") + 1)
+    return scored.where(enough & (F.col("score") >= LEAST_SCORE)).select("p", "l1", kind.alias("k"), "score")
+
+
+def _accepted(graph: DataFrame, patterns: DataFrame) -> DataFrame:
+    """Unknown tokens (v, k) that confident patterns lead to with a high score."""
+    led = graph.where("kind is null").select("p", "v").join(patterns, "p")
+    miss = F.exp(F.sum(F.log(F.greatest(1 - F.col("score"), F.lit(1e-9)))))
+    by_kind = led.groupBy("v", "k").agg((1 - miss).alias("score")).where(F.col("score") >= LEAST_SCORE - 1e-9)
+    order = F.array_position(F.array(*map(F.lit, ALL_KINDS)), F.col("k"))
+    return by_kind.groupBy("v").agg(F.max_by("k", F.struct("score", -order)).alias("k"))
 
 
 def bootstrap(found: DataFrame, rounds: int | None = None) -> tuple[DataFrame, DataFrame] | None:
-    """(patterns, instances) of high confidence from scanned rows: (ctx, kind) and (v, kind); None if there are none.
+    """(patterns, instances) of high confidence from scanned rows: (p, l1, k) and (v, k), unseen tokens only; None if no
+    pattern has enough known instances.
 
     Rounds end with the first that adds no instance, so the patterns are scored with every instance known; each makes at
     least one known, so there is an end. `rounds` stops earlier, with patterns as the last round scored them."""
-    seeds = found.select(F.inline("spans")).select("ctx", "v", "kind")
-    others = found.select(F.inline("tokens")).select("ctx", "v", F.lit(None).cast("string").alias("kind"))
-    graph = durable(seeds.union(others).where("ctx <> ''").distinct())
-    patterns = instances = None
+    seeds = with_patterns(tokens_of(found, only=lambda v: v.rlike("[0-9@]")).withColumn("kind", seed_kind(F.col("v"))).where("kind is not null"))
+    pairs = durable(seeds.select("p", "l1", "v", "kind").distinct())
+    frontier = durable(_frontier(pairs))
+    if frontier.isEmpty():
+        return None
+    look = lambda patterns: _followers(found, patterns).select("p", "l1", "v").distinct().withColumn("kind", seed_kind(F.col("v")))
+    graph = durable(look(frontier))
+    patterns, instances = None, None
     for _ in itertools.count() if rounds is None else range(rounds):
-        known = F.array_sort(F.array(*[F.struct((-F.count(F.when(F.col("kind") == k, 1))).alias("n"), F.lit(i).alias("i")) for i, k in enumerate(KINDS)]))[0]
-        scored = graph.groupBy("ctx").agg(F.count("*").alias("n"), known.alias("best"))
-        scored = scored.withColumn("support", -F.col("best.n")).withColumn("score", F.col("support") / F.col("n"))
-        kind_of = F.element_at(F.array(*map(F.lit, KINDS)), F.col("best.i") + 1)
-        good = scored.where((F.col("support") >= LEAST_SUPPORT) & (F.col("score") >= LEAST_SCORE))
-        patterns = durable(good.select("ctx", kind_of.alias("k"), "score"))
-        if patterns.isEmpty():
-            return None
-        led = graph.where("kind is null").join(patterns, "ctx")
-        miss = F.exp(F.sum(F.log(F.greatest(1 - F.col("score"), F.lit(1e-9)))))
-        by_kind = led.groupBy("v", "k").agg((1 - miss).alias("score")).where(F.col("score") >= LEAST_SCORE)
-        order = F.array_position(F.array(*map(F.lit, KINDS)), F.col("k"))
-        new = by_kind.groupBy("v").agg(F.max_by("k", F.struct("score", -order)).alias("k"))
-        new = durable(new)
+        patterns = durable(_scored(graph))
+        new = durable(_accepted(graph, patterns))
         if new.isEmpty():
             break
         instances = new if instances is None else durable(instances.union(new))
-        graph = durable(graph.join(new, "v", "left").select("ctx", "v", F.coalesce("kind", "k").alias("kind")).distinct())
+        named = new.select("v", F.col("k").alias("new"))
+        graph = graph.join(named, "v", "left").select("p", "l1", "v", F.coalesce("kind", "new").alias("kind"))
+        # where the new instances occur besides, more patterns may have enough of them
+        seen = with_patterns(tokens_of(found).join(_small(named), "v")).select("p", "l1", "v", F.col("new").alias("kind")).distinct()
+        pairs = durable(pairs.union(seen))
+        wider = durable(_frontier(pairs).join(frontier, ["p", "l1"], "left_anti"))
+        if not wider.isEmpty():
+            frontier = durable(frontier.union(wider))
+            names = instances.select("v", F.col("k").alias("new"))
+            more = look(wider).join(names, "v", "left").select("p", "l1", "v", F.coalesce("kind", "new").alias("kind"))
+            graph = graph.union(more)
+        graph = durable(graph)
     if instances is None:
-        return None
-    return patterns.select("ctx", F.col("k").alias("kind")), instances.select("v", F.col("k").alias("kind"))
+        instances = graph.limit(0).select("v", F.col("kind").alias("k"))
+    return patterns, instances
 
 
 def discovered(found: DataFrame, rounds: int | None = None) -> DataFrame | None:
@@ -174,26 +239,42 @@ def discovered(found: DataFrame, rounds: int | None = None) -> DataFrame | None:
     if learned is None:
         return None
     patterns, instances = learned
-    occurrences = found.select("th", F.inline("tokens")).distinct()
-    hits = occurrences.join(patterns, "ctx").join(instances, ["v", "kind"])
-    span = F.struct("kind", F.col("s").alias("start"), F.col("e").alias("end"))
-    return durable(hits.groupBy("th").agg(F.collect_set(span).alias("added")))
-
-
-def all_spans(found: DataFrame, rounds: int | None = None) -> DataFrame:
-    """Scanned rows with `base` and `added`, arrays of SPAN in the order of kind and start."""
-    base = F.transform("spans", lambda m: F.struct(m["kind"].alias("kind"), m["s"].alias("start"), m["e"].alias("end")))
-    found = found.withColumn("base", base)
-    more = discovered(found, rounds)
+    if patterns.isEmpty():
+        return None
+    texts = found.select("th", "t", "base")
+    # of the tokens in confident patterns, those that aren't base spans anyway: instances, and seeds of secrets
+    words = _small(patterns.select("l1").distinct())
+    near = with_patterns(tokens_of(texts, "th").join(words, "l1", "left_semi"))
+    rows = near.join(_small(patterns.select("p", "k")), "p")
+    known = instances.select("v", "k", F.lit(True).alias("learned"))
+    rows = rows.join(_small(known), ["v", "k"], "left").where(F.col("learned") | ((F.col("k") == "secret") & F.col("v").rlike(SECRET)))
+    hits = durable(rows.select("th", "i", "k").distinct())
+    # places: a running sum of lengths in the texts that have hits
+    hit_texts = texts.join(_small(hits.select("th").distinct()), "th", "left_semi").dropDuplicates(["th"])
+    tokens = F.regexp_extract_all("t", F.lit(TOKEN), F.lit(0))
+    pieces = F.arrays_zip(tokens.alias("v"), F.slice(F.split("t", TOKEN, -1), 1, F.size(tokens)).alias("gap"))
+    laid = hit_texts.select("th", F.posexplode(pieces).alias("i", "x"))
+    laid = laid.select("th", "i", F.length("x.gap").alias("gap"), F.length("x.v").alias("n"))
+    until = Window.partitionBy("th").orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    laid = laid.withColumn("e", F.sum(F.col("gap") + F.col("n")).over(until))
+    placed = laid.join(hits, ["th", "i"])
+    span = F.struct(F.col("k").alias("kind"), (F.col("e") - F.col("n")).alias("start"), F.col("e").alias("end"))
+    spans = placed.groupBy("th").agg(F.collect_set(span).alias("added")).join(hit_texts.select("th", "base"), "th")
+    free = F.filter("added", lambda x: ~F.exists("base", lambda y: (y["start"] < x["end"]) & (y["end"] > x["start"])))
+    return durable(spans.select("th", free.alias("added")).where(F.size("added") > 0))
+
+
+def all_spans(found: DataFrame, more: DataFrame | None) -> DataFrame:
+    """Scanned rows with `added`, an array of SPAN from discovered()."""
     none = F.array().cast(f"array<{SPAN}>")
     if more is None:
         return found.withColumn("added", none)
-    return found.join(more, "th", "left").withColumn("added", F.coalesce("added", none))
+    return found.join(_small(more), "th", "left").withColumn("added", F.coalesce("added", none))
 
 
 def in_order(spans: Column) -> Column:
     """By kind as listed, then start, then end."""
-    order = F.array(*map(F.lit, KINDS))
+    order = F.array(*map(F.lit, ALL_KINDS))
     keyed = F.transform(spans, lambda x: F.struct(F.array_position(order, x["kind"]).alias("k"), x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind")))
     return F.transform(F.sort_array(F.array_distinct(keyed)), lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end")))
 
@@ -204,8 +285,9 @@ def written(spans: Column) -> Column:
 
 def find_personal_data(df: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Rows (doc_id, base array<SPAN>, added array<SPAN>), one for each row of df."""
-    found = durable(scan(df, df[text_column], df[id_column].cast("long").alias("doc_id")))
-    return all_spans(found).select("doc_id", "base", "added")
+    found = scan(df, df[text_column], df[id_column].cast("long").alias("doc_id"))
+    more = discovered(found.select("t", "th", "base"))
+    return all_spans(found.drop("t"), more).select("doc_id", "base", "added")
 
 
 def count_kind(kind: str) -> Column:
@@ -213,27 +295,27 @@ def count_kind(kind: str) -> Column:
 
 
 def digests(found: DataFrame) -> DataFrame:
-    """The contract's columns from find_personal_data(): counts and the hash are of base spans, `spans` has all."""
+    """The contract's columns from find_personal_data(): counts and the hash are of base spans, `spans` has all; and
+    `n_added`, `n_spans`, how many the method added and how many there are."""
     counts = [count_kind(k).alias(f"n_{k}") for k in KINDS]
+    sizes = [F.size("added").cast("long").alias("n_added"), (F.size("base") + F.size("added")).cast("long").alias("n_spans")]
     every = written(F.when(F.size("added") == 0, F.col("base")).otherwise(in_order(F.concat("base", "added"))))
-    return found.select("doc_id", *counts, F.sha2(written(F.col("base")), 256).alias("base_sha256"), every.alias("spans"))
+    return found.select("doc_id", *counts, F.sha2(written(F.col("base")), 256).alias("base_sha256"), every.alias("spans"), *sizes)
 
 
 def redact(df: DataFrame, text_column: str = "text", broadcast_rows: int = 100_000) -> DataFrame:
     """df with every span in its text replaced by its kind in brackets; overlapping spans become one, of the kind that
     starts first. Rows, order of columns and null texts stay."""
-    found = durable(scan(df, df[text_column]).dropDuplicates(["th"]))
-    more = discovered(found)
+    more = discovered(scan(df, df[text_column]))
     text = df[text_column].cast("string")
-    none = F.array().cast(f"array<{SPAN}>")
-    own = df.withColumn("__pii_spans", F.coalesce(base_spans(text), none))
+    row = F.struct(*[df[f"`{c}`"] for c in df.columns]).alias("row")
+    own = df.select(row, text.alias("t"), base_spans(text).alias("base"))
     if more is not None:
-        more = more.select(F.col("th").alias("__pii_th"), F.col("added").alias("__pii_added"))
         more = F.broadcast(more) if more.count() <= broadcast_rows else more  # a row has at most a few spans
-        own = own.withColumn("__pii_th", F.concat_ws(":", F.md5(text.cast("binary")), F.length(text))).join(more, "__pii_th", "left")
-        own = own.withColumn("__pii_spans", F.concat("__pii_spans", F.coalesce("__pii_added", none)))
-    new = redacted(F.col(text_column), F.col("__pii_spans"))
-    return own.select(*[(new if c == text_column else F.col(f"`{c}`")).alias(c) for c in df.columns])
+        own = own.withColumn("th", text_key(F.coalesce("t", F.lit("")))).join(more, "th", "left")
+        own = own.withColumn("base", F.concat("base", F.coalesce("added", F.array().cast(f"array<{SPAN}>"))))
+    new = redacted(F.col("t"), F.coalesce("base", F.array().cast(f"array<{SPAN}>")))
+    return own.select(*[(new if c == text_column else F.col("row")[c]).alias(c) for c in df.columns])
 
 
 def base_spans(text: Column) -> Column:

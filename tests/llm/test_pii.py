@@ -1,7 +1,10 @@
 import hashlib
+import math
 import random
 import re
 
+import regex
+
 from siltstone.llm import pii
 
 PLAIN = {
@@ -114,3 +117,109 @@ def test_no_python(spark, sf_dir):
     df = spark.read.parquet(f"{sf_dir}/documents.parquet")
     plan = pii.scan(df, df.text, df.doc_id)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def brute_bootstrap(texts):
+    """(spans added, by text) of the method as its docstring states it, with sets and loops."""
+    token = regex.compile(pii.TOKEN)
+    secret = regex.compile(pii.SECRET)
+
+    def seed(v):
+        for kind in pii.KINDS:
+            m = re.search(PLAIN[kind], v)
+            if m and any(k == kind and (s, e) == m.span() for k, s, e in base(v)):
+                return kind
+        return "secret" if secret.match(v) else None
+
+    def patterns(c, i):
+        l2, l1, v, r1 = c[i - 2].lower() if i > 1 else "", c[i - 1].lower() if i else "", c[i], c[i + 1].lower() if i + 1 < len(c) else ""
+        if l2:
+            yield ("2", l2, l1)
+        if l1 and r1:
+            yield ("r", l1, r1)
+        if l1 and re.search("[0-9@]", v):
+            yield ("s", l1, regex.sub(r"\p{L}", "a", re.sub("[0-9]", "9", v)))
+
+    cut = {t: [(m.group(), m.start(), m.end()) for m in token.finditer(t)] for t in texts}
+    graph = {}
+    for found in cut.values():
+        c = [v for v, _, _ in found]
+        for i, v in enumerate(c):
+            for p in patterns(c, i):
+                graph.setdefault(p, set()).add(v)
+    learned, good = {}, {}
+    while True:
+        kind = lambda v: learned.get(v) or seed(v)
+        counts = {p: [sum(kind(v) == k for v in vs) for k in pii.ALL_KINDS] for p, vs in graph.items()}
+        good = {}
+        for p, n in counts.items():
+            best = max(range(len(n)), key=lambda k: (n[k], -k))
+            tight = p[0] == "2"
+            score = n[best] / (len(graph[p]) + (0 if tight else pii.LOOSE_MORE))
+            if n[best] >= (pii.LEAST_SUPPORT if tight else pii.LOOSE_SUPPORT) and score >= pii.LEAST_SCORE:
+                good[p] = (pii.ALL_KINDS[best], score)
+        led = {}
+        for p, (k, score) in good.items():
+            for v in graph[p]:
+                if kind(v) is None:
+                    led.setdefault(v, {}).setdefault(k, []).append(score)
+        new = {}
+        for v, by_kind in led.items():
+            scores = {k: 1 - math.prod(max(1 - x, 1e-9) for x in xs) for k, xs in by_kind.items()}
+            k = max(scores, key=lambda k: (scores[k], -pii.ALL_KINDS.index(k)))
+            if scores[k] >= pii.LEAST_SCORE - 1e-9:
+                new[v] = k
+        if not new:
+            break
+        learned |= new
+    out = {}
+    for t, found in cut.items():
+        c, own = [v for v, _, _ in found], base(t)
+        spans = set()
+        for i, (v, s, e) in enumerate(found):
+            for p in patterns(c, i):
+                k = good.get(p, (None,))[0]
+                if k and (learned.get(v) == k or (k == "secret" and secret.match(v))) and not any(a < e and b > s for _, a, b in own):
+                    spans.add((k, s, e))
+        out[t] = sorted(spans)
+    return out
+
+
+def test_bootstrap_against_brute_force(spark):
+    rng = random.Random(11)
+    hexes = lambda n: "".join(rng.choices("0123456789abcdef", k=n - 2)) + "a1"
+    words = ["the", "of", "über", "Mail", "at", "call", "x9", "(see)", "12", "a-b", "note:", "id"]
+    things = [lambda: f"user{rng.randrange(40)}@mail{rng.randrange(3)}.com", lambda: f"10.0.{rng.randrange(200)}.7", lambda: f"+1 (555) 555-{rng.randrange(1000, 1040)}", lambda: f'token = "{hexes(40)}"', lambda: number(rng, 16)]
+    unseen = [lambda: f"jane{rng.randrange(9)}@localhost", lambda: f"555 123 {rng.randrange(1000, 1009)}", lambda: f"2001:db8::{rng.randrange(9)}", lambda: f'token = "{hexes(12)}"', lambda: f"h{rng.randrange(9)} (at) site"]
+    leads = ["write me:", "reach us under", "my address is", "host", "pay by"]
+    texts_ = ["", "a", "+1 2"]
+    for _ in range(260):
+        parts = rng.choices(words, k=rng.randrange(2, 9))
+        for _ in range(rng.randrange(0, 4)):
+            k = rng.randrange(5)
+            parts.append(f"{leads[k]} {(things if rng.random() < 0.85 else unseen)[k]()}" if rng.random() < 0.8 else rng.choice(unseen)())
+            parts += rng.choices(words, k=2)
+        texts_.append(" ".join(parts))
+    texts_ += [f'of token = "{hexes(40)}" x9' for _ in range(30)]
+    want = brute_bootstrap(set(texts_))
+    df = spark.createDataFrame(list(enumerate(texts_)), "doc_id long, text string")
+    found = pii.find_personal_data(df).collect()
+    got = {texts_[r.doc_id]: sorted((x.kind, x.start, x.end) for x in r.added) for r in found}
+    assert got == want
+    assert sum(map(len, want.values())) > 30 and {k for xs in want.values() for k, _, _ in xs} >= {"email", "secret"}
+
+
+def test_unseen_forms_are_found_by_context(spark):
+    rows = [(i, f"please write to me under user{i}@mail.example.com soon") for i in range(20)]
+    rows += [(30 + i, f"you can phone me at +1 (555) 555-01{i:02d} today") for i in range(20)]
+    rows += [(60 + i, f'api_key = "{i:02d}{"0a1b2c3d4e5f" * 3}" # keep') for i in range(8)]
+    unseen = {100: ("email", "jane@localhost"), 101: ("email", "jane.doe(at)example.com"), 102: ("phone", "555 123 4567"), 103: ("phone", "(017) 555-7713"), 104: ("secret", "9f8e7d6c5b4a")}
+    around = {"email": "please write to me under %s soon", "phone": "you can phone me at %s today", "secret": 'api_key = "%s" # keep'}
+    rows += [(i, around[k] % v) for i, (k, v) in unseen.items()]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.digests(pii.find_personal_data(df)).collect()}
+    for i, (kind, v) in unseen.items():
+        at = (around[kind] % v).index(v)
+        assert got[i].spans == f"{kind}:{at}:{at + len(v)}" and got[i].n_added == 1 == got[i].n_spans, (v, got[i].spans)
+    assert got[60].spans.startswith("secret:11:") and got[60].n_email == 0
+    assert "[SECRET]" in {r.doc_id: r.text for r in pii.redact(df).collect()}[104]
