@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siltstone.session import shared_folder
+
 
 def ordered(df: DataFrame, *keys: str, nulls: str | None = None) -> DataFrame:
     """ORDER BY with the defaults nulls last for ascending and nulls first for descending keys ("name desc")."""
@@ -22,9 +23,7 @@ def ordered(df: DataFrame, *keys: str, nulls: str | None = None) -> DataFrame:
 
 def with_position(df: DataFrame, name: str = "pos") -> DataFrame:
     """df with the position of each row from 0, in the order that df has. Only a count a partition goes to the driver."""
-    sc = df.sparkSession.sparkContext
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="siltstone-"))
+    shared_folder(df.sparkSession)
     fixed = df.checkpoint(eager=True)  # partitions stay as they are from here on
     part, at = F.spark_partition_id(), F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
     starts, total = {}, 0

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -12,7 +11,7 @@ from pyspark.sql import functions as F
 from siltstone.functions import compat
 from siltstone.operators.modify import Modifier
 from siltstone.plans.prune import Filter
-from siltstone.session import configure, table
+from siltstone.session import configure, shared_folder, table
 from siltstone.sources.catalog import Catalog
 from siltstone.sources.document import Document
 from siltstone.sources.files import Store
@@ -490,10 +489,8 @@ def json_path(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession) -> str:
-    """A folder for copies that statements change: in the shared checkpoint folder, or, where none is set, a temporary
-    one."""
-    shared = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    return f"{shared or tempfile.mkdtemp(prefix='siltstone-')}/changes-{uuid.uuid4().hex}"
+    """A folder for copies that statements change, in the folder that all executors share."""
+    return f"{shared_folder(spark)}/changes-{uuid.uuid4().hex}"
 
 
 def copied(spark: SparkSession, sf_dir: str, name: str, columns: dict[str, object], files: int = 1, **options: object) -> ParquetTable:

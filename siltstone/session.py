@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 
+from siltstone.errors import OptionError
+
 #: Exact column names, micros in files, nanoseconds as numbers, and run-time re-planning.
 SETTINGS = {
     "spark.sql.caseSensitive": "true",
@@ -22,6 +26,18 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: the session's spark.checkpoint.dir. Where that is unset a local
+    session, as in tests, gets one of its own; on a cluster it is an error."""
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir():
+        chosen = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+        if not chosen and not sc.master.startswith("local"):
+            raise OptionError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(chosen or tempfile.mkdtemp(prefix="siltstone-"))
+    return sc.getCheckpointDir()
+
+
 def local_session(cores: int = 8, app: str = "siltstone", **extra: str) -> SparkSession:
     """A session for tests and the bench; on a cluster the caller brings the session."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
