@@ -20,7 +20,9 @@ from pyspark.sql import functions as F
 
 from siltstone.functions import compat
 from siltstone.llm import lines, minhash, packing, pii, quality
-from siltstone.llm.common import durable, shared_folder
+from siltstone.llm.common import durable
+from siltstone.session import shared_folder
+from siltstone.sources.files import Store
 
 #: Ids of removed documents that are still broadcast (8 bytes each).
 BROADCAST_IDS = 500_000
@@ -41,28 +43,28 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group, that of the smallest id. Where ids repeat, rows of one id with different texts are
-    judged each by its own text; exact copies of id and text are one row. Rows without id stay."""
-    if not docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
+    """One document of each group, that of the smallest id. Where ids repeat or are null, rows are judged each by its own
+    text, and those without id come last; exact copies of id and text are one row."""
+    if not docs.groupBy("doc_id").count().where("count > 1 or doc_id is null").isEmpty():
         return _near_duplicates_of_rows(docs)
-    judged = minhash.near_duplicates(docs, width=5, percent=80).where("doc_id is not null and not kept")
+    judged = minhash.near_duplicates(docs, width=5, percent=80).where("not kept")
     removed = durable(judged.select("doc_id").distinct())
     removed = F.broadcast(removed) if removed.count() <= BROADCAST_IDS else removed
     return docs.join(removed, "doc_id", "left_anti").select(*docs.columns)
 
 
 def _near_duplicates_of_rows(docs: DataFrame) -> DataFrame:
-    """near_duplicates() where ids repeat: a row is known by id and text."""
+    """near_duplicates() where ids repeat or are null: a row is known by id and text."""
     digest = F.coalesce(F.md5(F.col("text").cast("binary")), F.lit(""))
-    named = docs.where("doc_id is not null").withColumn("__text", digest).dropDuplicates(["doc_id", "__text"])
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("id"), digest.alias("digest"))
+    rows = rows.dropDuplicates(["id", "digest"])
     # numbered in the order of id and text, over fixed partitions, so that a group keeps its smallest id
-    numbered = compat.with_position(named.select("doc_id", "__text").orderBy("doc_id", "__text"), "__row")
-    numbered = durable(numbered)
-    keyed = named.join(numbered, ["doc_id", "__text"])
-    rows = keyed.select(F.col("__row").alias("doc_id"), "text")
-    kept = minhash.near_duplicates(rows, width=5, percent=80).where("kept").select(F.col("doc_id").alias("__row"))
-    left = keyed.join(durable(kept), "__row", "left_semi").select(*docs.columns)
-    return left.union(docs.where("doc_id is null"))
+    numbered = compat.with_position(rows.select("id", "digest").orderBy(F.col("id").asc_nulls_last(), "digest"), "at")
+    numbered = durable(numbered.select("at", F.col("id").alias("of_id"), F.col("digest").alias("of_digest")))
+    keyed = rows.join(numbered, F.col("id").eqNullSafe(F.col("of_id")) & (F.col("digest") == F.col("of_digest")))
+    texts = keyed.select(F.col("at").alias("doc_id"), F.col("row.text").alias("text"))
+    kept = minhash.near_duplicates(texts, width=5, percent=80).where("kept").select(F.col("doc_id").alias("at"))
+    return keyed.join(durable(kept), "at", "left_semi").select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -87,12 +89,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows over the documents of sf_dir; what stages pass on is written to the shared folder."""
+    """The last stage's rows over the documents of sf_dir. What a stage passes on is written to the shared folder and
+    removed once the next one has been written; the result reads the last of these."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    folder, before = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}", None
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
-            docs.write.parquet(f"{folder}/{k}-{name}")
-            docs = spark.read.parquet(f"{folder}/{k}-{name}")
+            now = f"{folder}/{k}-{name}"
+            docs.write.parquet(now)
+            if before:
+                Store(spark).delete(before, True)
+            docs, before = spark.read.parquet(now), now
     return docs
