@@ -22,14 +22,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltstone.errors import ModifyError, UnsupportedOperation
+from siltstone.session import shared_folder
 from siltstone.sources.document import Document
 from siltstone.sources.files import Store
 from siltstone.sources.footers import read_footer
-from siltstone.sources.table import FILE, ROW, ParquetTable
+from siltstone.sources.table import FILE, RANK, ROW, ParquetTable
 from siltstone.sources.types import KEY_TYPES, SORT_TYPES, document_type
 
 Values = Mapping[str, object]
 FILES_AT_ONCE = 16
+#: An INSERT of more rows into a folder table makes new files of about this size, written by as many tasks.
+ROWS_PER_FILE = 2_000_000
 
 
 def _column(value: object) -> Column:
@@ -39,9 +42,9 @@ def _column(value: object) -> Column:
 class Modifier:
     """Changes to one table."""
 
-    def __init__(self, table: ParquetTable) -> None:
+    def __init__(self, table: ParquetTable, rows_per_file: int = ROWS_PER_FILE) -> None:
         self.table, self.spark, self.store = table, table.spark, Store(table.spark)
-        self.options = table.options
+        self.options, self.rows_per_file = table.options, rows_per_file
 
     # -- statements ------------------------------------------------------------------------------------------------
 
@@ -117,9 +120,9 @@ class Modifier:
         for name in self.table.key_names():
             kind = self.table.column(name).kind
             if not isinstance(kind, KEY_TYPES):
-                raise ModifyError(f"key column does not support type {self.table.column(name).type_name!r}")
+                raise ModifyError(f"rows can't be told apart by a key of type {self.table.column(name).type_name!r}")
             if not rows.where(F.col(f"`{name}`").isNull()).isEmpty():
-                raise ModifyError(f"key column {name} must not be NULL")
+                raise ModifyError(f"key {name!r} has a null")
 
     def _file_names(self) -> dict[str, tuple[str, ...]]:
         """Columns of each file, in the table's order."""
@@ -154,7 +157,7 @@ class Modifier:
 
     def _new_file(self) -> str:
         if self.options.dirname is None:
-            raise ModifyError("can not find modify target file")
+            raise ModifyError("no file of the table has the columns of this row")
         if not hasattr(self, "_fresh"):
             self._fresh = f"{self.options.dirname.rstrip('/')}/{self.table.name}-{time.strftime('%Y-%m-%d_%H-%M-%S')}-{uuid.uuid4().hex[:6]}.parquet"
         return self._fresh
@@ -164,22 +167,33 @@ class Modifier:
         selector, folder = self.options.insert_file_selector, self.options.dirname or ""
         if callable(selector):
             return _column(selector({n: rows[f"`{n}`"] for n in rows.columns}, folder)).cast("string")
-        return F.expr(f"transform(array('{folder}'), dirname -> cast({selector} as string))[0]")
+        quoted = folder.replace("\\", "\\\\").replace("'", "\\'")
+        return F.expr(f"transform(array('{quoted}'), dirname -> cast({selector} as string))[0]")
 
     def _add(self, target: str, rows: DataFrame, exists: bool) -> None:
         by_file: dict[str, str] = {}
         for c in self.table.columns:
             by_file.setdefault(c.in_file, c.name)
+        n = rows.count()
+        if n > self.rows_per_file and self.options.dirname is not None and self.options.insert_file_selector is None:
+            # too many for one task: new files beside the others, in the schema of the first that fits
+            kinds = self.spark.read.parquet(target).schema.fields if exists else None
+            self._write_many(self._fitted(rows, by_file, kinds), -(-n // self.rows_per_file))
+            return
         if not exists:
-            self._write(target, self._behind(rows.select(*[F.col(f"`{n}`").alias(f) for f, n in by_file.items()])))
+            self._write(target, self._behind(self._fitted(rows, by_file, None)))
             return
         base = self.spark.read.parquet(target)
         self._check_sorted(base, target)
-        new = [
-            (F.col(f"`{by_file[f.name]}`").cast(f.dataType) if f.name in by_file else F.lit(None).cast(f.dataType)).alias(f.name)
-            for f in base.schema.fields
-        ]
-        self._write(target, self._placed(base).unionByName(self._behind(rows.select(*new))))
+        self._write(target, self._placed(base).unionByName(self._behind(self._fitted(rows, by_file, base.schema.fields))))
+
+    @staticmethod
+    def _fitted(rows: DataFrame, by_file: dict[str, str], fields: Sequence[T.StructField] | None) -> DataFrame:
+        """rows with a file's columns and types, or those that a new file gets."""
+        if fields is None:
+            return rows.select(*[F.col(f"`{n}`").alias(f) for f, n in by_file.items()])
+        value = lambda f: F.col(f"`{by_file[f.name]}`") if f.name in by_file else F.lit(None)
+        return rows.select(*[value(f).cast(f.dataType).alias(f.name) for f in fields])
 
     def _insert_documents(self, rows: DataFrame | Sequence[Values], stage: str) -> None:
         if not isinstance(rows, DataFrame):
@@ -192,7 +206,7 @@ class Modifier:
         rows = self.spark.read.parquet(f"{stage}/rows")
         for name in self.options.key_columns:
             if not rows.where(F.get_json_object("doc", f"$['{name}']").isNull()).isEmpty():
-                raise ModifyError(f"key column {name} must not be NULL")
+                raise ModifyError(f"key {name!r} has a null")
         files = self._file_names()
         for (keys,) in rows.select("keys").distinct().collect():
             own = rows.where(F.col("keys") == F.array(*map(F.lit, keys)).cast("array<string>"))
@@ -221,7 +235,7 @@ class Modifier:
         """The table's rows with their places, and key expressions."""
         names = self.table.key_names()
         if not names:
-            raise ModifyError(f"no primary key column specified for table {self.table.name!r}")
+            raise ModifyError(f"table {self.table.name!r} has no key, which UPDATE and DELETE need")
         if self.options.schemaless:
             document = Document(self.table)
             kinds = {n: document.kind(n) for n in names}
@@ -232,7 +246,7 @@ class Modifier:
             rows, keys = self.table.df(positions=True), {n: F.col(f"`{n}`") for n in names}
         for name, kind in kinds.items():
             if not isinstance(kind, (*KEY_TYPES, T.NullType, T.ByteType)):
-                raise ModifyError(f"key column {name} does not support type {kind.simpleString() if kind else 'jsonb'}")
+                raise ModifyError(f"rows can't be told apart by key {name!r} of type {kind.simpleString() if kind else 'jsonb'}")
         return rows, keys, document
 
     def _change(self, changes: Values | None, where: Column | None, source: DataFrame | None, on: Column | None) -> None:
@@ -254,18 +268,18 @@ class Modifier:
             hit = hit.dropDuplicates([FILE, ROW])
         stage = self._stage()
         try:
-            order = Window.partitionBy(*k).orderBy(self.table.file_rank(), ROW)
-            hit.withColumn("__n", F.row_number().over(order)).write.parquet(f"{stage}/hit")
+            order = Window.partitionBy(*k).orderBy(RANK, ROW)
+            self.table.ranked(hit).withColumn("__n", F.row_number().over(order)).drop(RANK).write.parquet(f"{stage}/hit")
             hit = self.spark.read.parquet(f"{stage}/hit")
             every = rows.select(FILE, ROW, *key_columns).join(hit.select(*k).distinct(), k, "left_semi")
-            every = every.withColumn("__n", F.row_number().over(order))
+            every = self.table.ranked(every).withColumn("__n", F.row_number().over(order)).drop(RANK)
             victims = every.join(hit.drop(FILE, ROW), [*k, "__n"])
             victims.write.parquet(f"{stage}/victims")
             victims = self.spark.read.parquet(f"{stage}/victims")
             if changes is not None and document is None:
                 for name in set(changes) & set(keys):
                     if not victims.where(F.col("__new").getField(name).isNull()).isEmpty():
-                        raise ModifyError(f"key column {name} must not be NULL")
+                        raise ModifyError(f"key {name!r} has a null")
             touched = [r[0] for r in victims.select(FILE).distinct().collect()]
             self._each(lambda file: self._rewrite(file, victims.where(F.col(FILE) == file), changes), touched)
         finally:
@@ -279,7 +293,7 @@ class Modifier:
             known = {f.name: f.dataType for f in document.schema.fields}
             for name in changes:
                 if name not in known:
-                    raise ModifyError(f"can not find modify target file with column {name!r}")
+                    raise ModifyError(f"no file of the table has a column {name!r}")
             return [F.struct(*[_column(v).cast(known[n]).alias(n) for n, v in changes.items()]).alias("__new")]
         values = {n: _column(v) for n, v in changes.items()}
         values = {n: v.cast(self.table.column(n).kind) if self.table.column(n).kind else v for n, v in values.items()}
@@ -310,7 +324,7 @@ class Modifier:
         missing = [n for n, f in in_file.items() if f not in base.columns]
         for n in missing:
             if not victims.where(F.col("__new").getField(n).isNotNull()).isEmpty():
-                raise ModifyError(f"can not find modify target file with column {n!r}")
+                raise ModifyError(f"no file of the table has a column {n!r}")
         by_file = {f: n for n, f in in_file.items()}
         joined = placed.join(new, ROW, "left")
         out = []
@@ -333,7 +347,7 @@ class Modifier:
             folder = self.options.dirname.rstrip("/")
         else:
             files = self.table.files()
-            folder = files[0].rpartition("/")[0] if files else "/tmp"
+            folder = files[0].rpartition("/")[0] if files else shared_folder(self.spark)
         return f"{folder}/.siltstone-{uuid.uuid4().hex}"
 
     def _sort_columns(self, schema: T.StructType) -> list[str]:
@@ -353,10 +367,14 @@ class Modifier:
         if not names:
             return
         key = F.struct(*[F.struct(F.col(f"`{n}`").isNotNull().alias("p"), F.col(f"`{n}`").alias("v")) for n in names])
-        placed = base.select(key.alias("k"), F.col("_metadata.row_index").alias(ROW))
-        before = F.lag("k").over(Window.partitionBy(F.lit(1)).orderBy(ROW))
-        if not placed.withColumn("b", before).where(F.col("b") > F.col("k")).isEmpty():
-            raise ModifyError(f"can not find right position: {file} is not sorted by {', '.join(names)}")
+        # each split by itself, and then the splits' ends, one row a split
+        placed = base.select(key.alias("k"), F.col("_metadata.row_index").alias(ROW), F.spark_partition_id().alias("split"))
+        before = F.lag("k").over(Window.partitionBy("split").orderBy(ROW))
+        within = F.max(F.coalesce(F.col("b") > F.col("k"), F.lit(False))).alias("wrong")
+        ends = placed.withColumn("b", before).groupBy("split").agg(within, F.min(ROW).alias("at"), F.min_by("k", ROW).alias("k1"), F.max_by("k", ROW).alias("k2"))
+        across = F.lag("k2").over(Window.orderBy("at")) > F.col("k1")
+        if not ends.select("wrong", across.alias("b")).where("wrong or b").isEmpty():
+            raise ModifyError(f"{file} isn't in the table's order by {', '.join(names)}, so rows can't be put in place")
 
     def _codec(self, target: str, exists: bool) -> str:
         own = [c.options.compression_type for c in self.table.columns if c.options.compression_type]
@@ -380,19 +398,25 @@ class Modifier:
 
     def _write(self, target: str, df: DataFrame) -> None:
         """df as the one file `target`: in the table's order, nulls first, and else in the order of places."""
-        exists = self.store.exists(target)
-        codec = self._codec(target, exists)
         order = [F.col(f"`{n}`").asc_nulls_first() for n in self._sort_columns(df.schema)]
-        one = df.coalesce(1).sortWithinPartitions(*order, ROW).drop(ROW)
-        folder, _, name = target.rpartition("/")
-        staged = f"{folder}/.{name}.{uuid.uuid4().hex}"
+        self._put(df.coalesce(1).sortWithinPartitions(*order, ROW).drop(ROW), target.rpartition("/")[0], self._codec(target, self.store.exists(target)), lambda _: target)
+
+    def _write_many(self, df: DataFrame, files: int) -> None:
+        """df as new files, each in the table's order."""
+        order = [F.col(f"`{n}`").asc_nulls_first() for n in self._sort_columns(df.schema)]
+        dealt = df.repartition(files)
+        stem = self._new_file().removesuffix(".parquet")
+        self._put(dealt.sortWithinPartitions(*order) if order else dealt, stem.rpartition("/")[0], self._codec(stem, False), lambda i: f"{stem}-{i:05d}.parquet")
+
+    def _put(self, df: DataFrame, folder: str, codec: str, name: Callable[[int], str]) -> None:
+        """Each partition of df as the file that name gives for its number: staged beside it and put in its place."""
+        staged = f"{folder}/.siltstone-{uuid.uuid4().hex}"
         try:
-            one.write.option("compression", codec).parquet(staged)
-            files = self.store.fs(staged).listStatus(self.store.path(staged))
-            part = next(f.getPath().toString() for f in files if f.getPath().getName().startswith("part-"))
-            if exists:
-                self.store.delete(target)
-            self.store.rename(part, target)
+            df.write.option("compression", codec).parquet(staged)
+            files = [f.getPath() for f in self.store.fs(staged).listStatus(self.store.path(staged))]
+            parts = sorted((p for p in files if p.getName().startswith("part-")), key=lambda p: p.getName())
+            for i, part in enumerate(parts):
+                self.store.replace(part.toString(), name(i))
+                self.spark.catalog.refreshByPath(name(i))
         finally:
             self.store.delete(staged, True)
-        self.spark.catalog.refreshByPath(target)

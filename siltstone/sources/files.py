@@ -51,6 +51,30 @@ class Store:
         if not self.fs(target).rename(self.path(source), self.path(target)):
             raise OSError(f"cannot move {source} to {target}")
 
+    def replace(self, source: str, target: str) -> None:
+        """Put source in the place of target, which may exist, in one step of the file system: until then target is the
+        old file and after it the new one."""
+        options = self.jvm.org.apache.hadoop.fs.Options.Rename
+        how = self.jvm.java.lang.reflect.Array.newInstance(options.OVERWRITE.getClass(), 1)
+        how[0] = options.OVERWRITE
+        target_path = self.path(target)
+        whole = self.fs(target).makeQualified(target_path)
+        self.jvm.org.apache.hadoop.fs.FileContext.getFileContext(whole.toUri(), self.conf).rename(self.path(source), whole, how)
+
+    def missing(self, names: list[str]) -> str | None:
+        """The first of names that doesn't exist; folders that hold several of them are listed once."""
+        folders: dict[str, list[str]] = {}
+        for name in names:
+            folders.setdefault(name.rpartition("/")[0], []).append(name)
+        gone = set()
+        for folder, own in folders.items():
+            if len(own) < 8 or not folder or not self.exists(folder):
+                gone |= {n for n in own if not self.exists(n)}
+            else:
+                there = {f.getPath().getName() for f in self.fs(folder).listStatus(self.path(folder))}
+                gone |= {n for n in own if n.rpartition("/")[2] not in there}
+        return next((n for n in names if n in gone), None)
+
     def make_folder(self, name: str) -> None:
         self.fs(name).mkdirs(self.path(name))
 
@@ -89,8 +113,7 @@ def table_files(spark: SparkSession, options: TableOptions, check: bool = True)
         names = list(options.filename)
     check_one_kind(names)
     if check:
-        store = Store(spark)
-        for name in names:
-            if not is_s3(name) and not store.exists(name):
-                raise CatalogError(f"no such file or directory: {name}")
+        gone = Store(spark).missing([n for n in names if not is_s3(n)])
+        if gone is not None:
+            raise CatalogError(f"no such file or directory: {gone}")
     return names

@@ -22,7 +22,9 @@ from siltstone.sources.footers import Footer, Surveyed, read_footer, read_footer
 from siltstone.sources.options import ColumnOptions, TableOptions
 from siltstone.sources.types import kind_of, parse_type, read_cast
 
-FILE, ROW = "__file", "__row"
+FILE, ROW, RANK = "__file", "__row", "__rank"
+#: Files of a table whose ranks are still broadcast.
+BROADCAST_FILES = 100_000
 
 
 @dataclass
@@ -213,18 +215,18 @@ class ParquetTable:
     def in_file_order(self) -> DataFrame:
         """Rows file by file, in the order of the file list and then of each file."""
         names = [c.name for c in self.columns]
-        return self.df(positions=True).orderBy(self.file_rank(), ROW).select(*[F.col(f"`{n}`") for n in names])
+        return self.ranked(self.df(positions=True)).orderBy(RANK, ROW).select(*[F.col(f"`{n}`") for n in names])
 
-    def file_rank(self) -> Column:
-        """A file's place in the table's list, from a path as Spark gives it."""
+    def ranked(self, df: DataFrame) -> DataFrame:
+        """df with `__rank`, the place in the table's list of the file that FILE names as Spark spells it."""
         cleaned = F.regexp_replace(F.url_decode(F.regexp_replace(FILE, r"\+", "%2B")), r"^\w+:(//)?", "")
         if self.options.dirname is not None:  # a folder's files are in the order of their paths
-            return cleaned
+            return df.withColumn(RANK, cleaned)
         names = [p.rpartition("://")[2] if "://" in p else p.removeprefix("file:") for p in self.files()]
-        rank = F.lit(len(names))
-        for i, name in reversed(list(enumerate(names))):
-            rank = F.when(cleaned == F.lit(name), i).otherwise(rank)
-        return rank
+        rows = list({name: i for i, name in reversed(list(enumerate(names)))}.items())
+        ranks = self.spark.createDataFrame(rows, f"__path string, {RANK} long")
+        ranks = F.broadcast(ranks) if len(names) <= BROADCAST_FILES else ranks
+        return df.withColumn("__path", cleaned).join(ranks, "__path", "left").drop("__path")
 
     def in_sorted_order(self) -> DataFrame:
         """Rows by the columns of `sorted`, nulls last: what a merge of presorted files gives."""

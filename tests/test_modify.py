@@ -33,7 +33,7 @@ def test_insert_goes_to_the_first_file_that_fits(spark, files):
     m.insert([{"id": 10, "a": "x"}, {"id": 11, "b": "y"}, {"id": 12}])
     assert names(files, 1) == [{"id": 0, "a": "a"}, {"id": 1, "a": "b"}, {"id": 10, "a": "x"}, {"id": 12, "a": None}]
     assert names(files, 4)[-1] == {"id": 11, "b": "y"}
-    with pytest.raises(ModifyError, match="target file"):
+    with pytest.raises(ModifyError, match="has the columns of this row"):
         m.insert([{"id": 13, "a": "x", "b": "y"}])
     m.insert(t.df().where("id < 2").select((F.col("id") + 100).alias("id"), "a"))  # reads what it changes
     assert [r["id"] for r in names(files, 1)] == [0, 1, 10, 12, 100, 101]
@@ -51,9 +51,9 @@ def test_update_and_delete_by_key(spark, files):
     assert (files / "t3.parquet").stat().st_mtime_ns == before
     m.update({"id": 9, "a": None}, F.col("id") == 5)
     assert names(files, 3) == [{"id": 4, "a": "e"}, {"id": 9, "a": None}]
-    with pytest.raises(ModifyError, match="must not be NULL"):
+    with pytest.raises(ModifyError, match="has a null"):
         m.update({"id": None}, F.col("id") == 9)
-    with pytest.raises(ModifyError, match="must not be NULL"):
+    with pytest.raises(ModifyError, match="has a null"):
         m.insert([{"a": "x"}])
     m.delete()
     assert t.df().count() == 0
@@ -63,7 +63,7 @@ def test_update_and_delete_by_key(spark, files):
 
 def test_keys_are_required_and_typed(spark, tmp_path):
     path = fixtures.simple(tmp_path / "f.parquet", {"id": pa.list_(pa.int64()), "b": pa.bool_(), "a": pa.string()}, [([1], True, "x")])
-    for columns, match in (({"a": "text"}, "no primary key"), ({"id": ("int8[]", {"key": "true"})}, "does not support"), ({"b": ("bool", {"key": "on"})}, "does not support")):
+    for columns, match in (({"a": "text"}, "has no key"), ({"id": ("int8[]", {"key": "true"})}, "told apart"), ({"b": ("bool", {"key": "on"})}, "told apart")):
         with pytest.raises(ModifyError, match=match):
             Modifier(ParquetTable(spark, "t", columns, {"filename": f'"{path}"', "key_columns": "a"})).delete()
 
@@ -112,7 +112,7 @@ def test_sorted_files_stay_sorted(spark, tmp_path):
     with pytest.raises(ModifyError, match="not supported"):
         Modifier(t).insert([{"c1": 1}])
     t.set_options(sorted="c2 c1")
-    with pytest.raises(ModifyError, match="right position"):
+    with pytest.raises(ModifyError, match="table's order"):
         Modifier(t).insert([{"c1": 1}])
 
 
@@ -168,7 +168,7 @@ def test_documents(spark, tmp_path):
     m.insert([{"three": "x", "extra": [1, 2], "flag": True, "sub": {"k": "v"}}])
     more = Document(t)
     assert len(t.files()) == 2 and {r[0] for r in more.df().where(more.has("extra")).select(more.json()).collect()} == {'{"sub": {"k": "v"}, "flag": "t", "extra": [1, 2], "three": "x"}'}
-    with pytest.raises(ModifyError, match="must not be NULL"):
+    with pytest.raises(ModifyError, match="has a null"):
         m.insert([{"one": 1}])
 
 
@@ -191,3 +191,60 @@ def test_by_catalog_and_partition(spark, tmp_path):
     assert catalog.table("ds").df().count() == 0 and len(catalog.table("ds").files()) == 1
     catalog.drop_datasource("ds")
     assert catalog.table("ds").files() == []
+
+
+def test_a_failing_rename_keeps_the_old_file(spark, files, monkeypatch):
+    from siltstone.sources.files import Store
+
+    t = ParquetTable(spark, "t", KEYED, {"filename": [f"{files}/t1.parquet"]})
+    before = names(files, 1)
+
+    def broken(self, source, target):
+        raise OSError("no rename")
+
+    monkeypatch.setattr(Store, "replace", broken)
+    with pytest.raises(OSError):
+        Modifier(t).update({"a": F.lit("z")}, F.col("id") == 1)
+    assert names(files, 1) == before and not [p for p in files.iterdir() if p.name.startswith(".silt")]
+    monkeypatch.undo()
+    store = Store(spark)
+    with pytest.raises(Exception):
+        store.replace(f"{files}/none.parquet", f"{files}/t1.parquet")
+    assert names(files, 1) == before
+    Modifier(t).update({"a": F.lit("z")}, F.col("id") == 1)
+    assert names(files, 1)[1] == {"id": 1, "a": "z"}
+
+
+def test_a_large_insert_makes_several_files(spark, tmp_path):
+    folder = tmp_path / "it's (a) folder"
+    t = ParquetTable(spark, "t", KEYED, {"dirname": str(folder), "sorted": "id"})
+    folder.mkdir()
+    rows = spark.range(100).selectExpr("100 - id AS id", "'x' AS a")
+    Modifier(t, rows_per_file=30).insert(rows)
+    found = sorted(folder.glob("*.parquet"))
+    assert len(found) == 4 and t.df().count() == 100
+    for path in found:
+        ids = pq.read_table(path)["id"].to_pylist()
+        assert ids == sorted(ids) and 10 <= len(ids) <= 40
+    Modifier(t, rows_per_file=30).insert([{"id": 500, "a": "y"}])
+    assert len(sorted(folder.glob("*.parquet"))) == 4 and t.df().count() == 101
+    named = ParquetTable(spark, "t", KEYED, {"dirname": str(folder), "insert_file_selector": "concat(dirname, '/', a, '.parquet')"})
+    Modifier(named).insert([{"id": 1, "a": "z"}])
+    assert (folder / "z.parquet").exists()
+
+
+def test_order_is_checked_across_splits(spark, tmp_path):
+    path = fixtures.write(tmp_path / "x.parquet", [pa.table([[1, 2, 3]], names=["id"]), pa.table([[2, 5, 6]], names=["id"])])
+    t = ParquetTable(spark, "t", {"id": ("int8", {"key": "true"})}, {"filename": [path], "sorted": "id"})
+    for size in ("1", "100m"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        with pytest.raises(ModifyError, match="table's order"):
+            Modifier(t).insert([{"id": 4}])
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_rows_keep_the_order_of_a_long_list_of_files(spark, tmp_path):
+    paths = [fixtures.simple(tmp_path / f"{'zyx'[i % 3]} {i}.parquet", {"id": pa.int64(), "a": pa.string()}, [(i, "v")]) for i in range(12)]
+    t = ParquetTable(spark, "t", KEYED, {"filename": paths})
+    assert [r.id for r in t.in_file_order().collect()] == list(range(12))
+    assert "CASE WHEN" not in t.in_file_order()._jdf.queryExecution().optimizedPlan().toString()
