@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import io
 import uuid
 from collections.abc import Callable
 
@@ -257,14 +259,28 @@ same_sql(
 )
 
 
+def presorted(spark: SparkSession, sf_dir: str, name: str, key: str, buckets: int = 16) -> DataFrame:
+    """One of the driver's tables as a copy dealt and sorted by its key, made at first use. Its name tells which files
+    it was made from."""
+    source = declared(spark, sf_dir, name, sorted=key)
+    return source.presorted(f"presorted_{name}_{key}_{Store(spark).fingerprint(source.files())[:12]}", buckets)
+
+
 @query("SELECT o.o_orderkey, l.l_linenumber FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey WHERE o.o_orderkey <= 2000")
 def join_merge_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Presorted tables joined by a merge."""
-    o = declared(spark, sf_dir, "orders", sorted="o_orderkey").df([Filter("o_orderkey", "<=", 2000)])
-    lines = declared(spark, sf_dir, "lineitem", sorted="l_orderkey").df([Filter("l_orderkey", "<=", 2000)])
+    """Presorted tables joined by a merge: no shuffle and no sort."""
+    o = presorted(spark, sf_dir, "orders", "o_orderkey").where("o_orderkey <= 2000")
+    lines = presorted(spark, sf_dir, "lineitem", "l_orderkey")
     return o.join(lines.hint("merge"), F.col("o_orderkey") == F.col("l_orderkey")).select("o_orderkey", "l_linenumber")
 
 
+@query("SELECT l_orderkey, count(*) AS n, sum(l_quantity) AS q FROM lineitem GROUP BY l_orderkey")
+def group_presorted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups by the key of a presorted table: no shuffle."""
+    lines = presorted(spark, sf_dir, "lineitem", "l_orderkey")
+    return lines.groupBy("l_orderkey").agg(F.count("*").alias("n"), F.sum("l_quantity").alias("q"))
+
+
 # -- aggregates --------------------------------------------------------------------------------------------------------
 
 same_sql(
@@ -372,33 +388,41 @@ same_sql(
 )
 
 
-@query("SELECT d.doc_id, l.quality FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id ORDER BY l.quality ASC NULLS LAST, d.doc_id DESC LIMIT 500")
-def nulls_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _by_quality(spark: SparkSession, sf_dir: str, *keys: str) -> DataFrame:
     d, lab = declared(spark, sf_dir, "documents").df(), declared(spark, sf_dir, "labels").df()
-    return compat.ordered(d.join(lab, "doc_id", "left").select("doc_id", "quality"), "quality", "doc_id desc").limit(500)
+    return compat.with_position(compat.ordered(d.join(lab, "doc_id", "left").select("doc_id", "quality"), *keys))
 
 
 @query(
     "SELECT CAST(row_number() OVER (ORDER BY l.quality ASC NULLS LAST, d.doc_id DESC) - 1 AS BIGINT) AS pos, d.doc_id, l.quality"
     " FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"
 )
+def nulls_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row in ascending order, nulls last by default, with its position."""
+    return _by_quality(spark, sf_dir, "quality", "doc_id desc")
+
+
+@query(
+    "SELECT CAST(row_number() OVER (ORDER BY l.quality DESC NULLS FIRST, d.doc_id) - 1 AS BIGINT) AS pos, d.doc_id, l.quality"
+    " FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"
+)
 def nulls_order_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every row of the order that nulls_order begins, with its position."""
-    d, lab = declared(spark, sf_dir, "documents").df(), declared(spark, sf_dir, "labels").df()
-    return compat.with_position(compat.ordered(d.join(lab, "doc_id", "left").select("doc_id", "quality"), "quality", "doc_id desc"))
+    """Every row in descending order, nulls first by default, with its position."""
+    return _by_quality(spark, sf_dir, "quality desc", "doc_id")
 
 
-@query("SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem ORDER BY l_orderkey, l_linenumber LIMIT 200")
+@query("SELECT CAST(row_number() OVER (ORDER BY o_orderkey) - 1 AS BIGINT) AS pos, o_orderkey, o_totalprice FROM orders")
 def sorted_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = declared(spark, sf_dir, "lineitem", sorted="l_orderkey l_linenumber")
-    return t.in_sorted_order().select("l_orderkey", "l_linenumber", "l_quantity").limit(200)
+    """Every row of a table in the order of its sorted column, with its position."""
+    t = declared(spark, sf_dir, "orders", sorted="o_orderkey")
+    return compat.with_position(t.in_sorted_order().select("o_orderkey", "o_totalprice"))
 
 
 @query(
     "SELECT CAST(row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_quantity) - 1 AS BIGINT) AS pos, l_orderkey, l_linenumber, l_quantity FROM lineitem"
 )
 def sorted_scan_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every row of the order that sorted_scan begins, with its position; quantities put repeated keys in order."""
+    """Every row of a table sorted by three columns, with its position; quantities put repeated keys in order."""
     t = declared(spark, sf_dir, "lineitem", sorted="l_orderkey l_linenumber l_quantity")
     return compat.with_position(t.in_sorted_order().select("l_orderkey", "l_linenumber", "l_quantity"))
 
@@ -554,15 +578,29 @@ def sorted_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.df(positions=True).select(F.col("__row").alias("pos"), "s_suppkey")
 
 
-@query("SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderdate >= TIMESTAMP '1995-06-01' AND o_orderdate < TIMESTAMP '1996-03-01'")
-def part_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ranges of years over one table; a filter leaves only those it meets."""
+BY_YEAR = "SELECT o_orderkey, o_orderdate FROM {} WHERE o_orderdate >= TIMESTAMP '1995-06-01' AND o_orderdate < TIMESTAMP '1996-03-01'"
+
+
+def by_year(spark: SparkSession, sf_dir: str) -> Catalog:
+    """Ranges of years over one table."""
     catalog = Catalog(spark)
     catalog.tables["orders"] = declared(spark, sf_dir, "orders")
     years = [(None, "1993-01-01"), *[(f"{y}-01-01", f"{y + 1}-01-01") for y in range(1993, 1999)], ("1999-01-01", None)]
-    t = catalog.create_partitioned("by_year", "o_orderdate", [("orders", low, high) for low, high in years])
-    low, high = (F.lit(x).cast("timestamp_ntz") for x in ("1995-06-01", "1996-03-01"))
-    return t.df().where((F.col("o_orderdate") >= low) & (F.col("o_orderdate") < high)).select("o_orderkey", "o_orderdate")
+    catalog.create_partitioned("by_year", "o_orderdate", [("orders", low, high) for low, high in years])
+    return catalog
+
+
+@query(BY_YEAR.format("orders"))
+def part_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A filter leaves two of eight parts; the others aren't scanned."""
+    filters = [Filter("o_orderdate", ">=", dt.datetime(1995, 6, 1)), Filter("o_orderdate", "<", dt.datetime(1996, 3, 1))]
+    return by_year(spark, sf_dir).tables["by_year"].df(filters).select("o_orderkey", "o_orderdate")
+
+
+@query(BY_YEAR.format("orders"))
+def part_prune_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by SQL."""
+    return by_year(spark, sf_dir).sql(BY_YEAR.format("by_year").replace("TIMESTAMP", "TIMESTAMP_NTZ"))
 
 
 @query("SELECT n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey")
@@ -579,5 +617,252 @@ def analyze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select("rows", F.col("c_acctbal_min").cast("double").alias("lo"), F.col("c_acctbal_max").cast("double").alias("hi"))
 
 
+# -- capabilities that need files of their own ---------------------------------------------------------------------------
+
+
+def files_of(spark: SparkSession, *parts: DataFrame, codec: str = "snappy") -> list[str]:
+    """Each DataFrame as one file; their paths."""
+    folder, store, out = scratch(spark), Store(spark), []
+    for i, part in enumerate(parts):
+        part.coalesce(1).write.option("compression", codec).parquet(f"{folder}/{i}")
+        out += store.list_files(f"{folder}/{i}")
+    return out
+
+
+def arrow_file(spark: SparkSession, arrow_table) -> str:
+    """A small file with types that Spark doesn't write."""
+    import pyarrow.parquet as pq
+
+    held, path = io.BytesIO(), f"{scratch(spark)}/x.parquet"
+    pq.write_table(arrow_table, held)
+    Store(spark).write_bytes(path, held.getvalue())
+    return path
+
+
+@query("SELECT n_nationkey + 2999999990 AS x FROM nation WHERE n_nationkey >= 20 OR n_nationkey + 2999999990 >= 3000000000")
+def prune_unsigned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unsigned numbers, whose statistics look negative as signed ones."""
+    import pyarrow as pa
+
+    keys = [r[0] for r in table(spark, sf_dir, "nation").select("n_nationkey").collect()]
+    path = arrow_file(spark, pa.table({"x": pa.array([k + 2_999_999_990 for k in keys], pa.uint32())}))
+    return ParquetTable(spark, "t", {"x": "int8"}, {"filename": [path]}).df([Filter("x", ">=", 3_000_000_000)])
+
+
+@query("SELECT CAST(trunc(s_acctbal) AS INTEGER) AS x FROM supplier WHERE trunc(s_acctbal) = (SELECT trunc(max(s_acctbal)) FROM supplier)")
+def prune_cast_float(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fractions read as whole numbers: a file's greatest value isn't the greatest that is read."""
+    most = int(table(spark, sf_dir, "supplier").agg(F.max("s_acctbal")).first()[0])
+    columns = {"x": ("int4", {"column_name": "s_acctbal"})}
+    return declared(spark, sf_dir, "supplier", columns).df([Filter("x", "=", most)])
+
+
+@query("SELECT CAST(max(o_orderdate) AS DATE) AS d, count(*) AS n FROM orders WHERE CAST(o_orderdate AS DATE) = (SELECT CAST(max(o_orderdate) AS DATE) FROM orders)")
+def prune_cast_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Times read as dates; the last of the day was after midnight."""
+    orders = table(spark, sf_dir, "orders").withColumn("t", F.col("o_orderdate") + F.expr("INTERVAL 10 HOURS"))
+    last = orders.agg(F.max(F.to_date("o_orderdate"))).first()[0]
+    t = ParquetTable(spark, "t", {"d": ("date", {"column_name": "t"})}, {"filename": files_of(spark, orders)})
+    return t.df([Filter("d", "=", last)]).groupBy("d").agg(F.count("*").alias("n"))
+
+
+@query("SELECT event_id AS k, value AS v FROM events WHERE event_type = 'click'")
+def map_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows whose map has a key, and the value under it."""
+    events = table(spark, sf_dir, "events").select("event_id", F.create_map("event_type", "value").alias("m"))
+    doc = Document(ParquetTable(spark, "t", {"v": "jsonb"}, {"filename": files_of(spark, events), "schemaless": "true"}))
+    return doc.df([Filter("m", "?", "click")]).select(doc.get("event_id").alias("k"), doc.get("m", "click").alias("v"))
+
+
+@query("SELECT 'low' AS file, 1 AS groups UNION ALL SELECT 'high', 0")
+def explain_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many row groups of each file a filter leaves."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey")
+    paths = files_of(spark, orders.where("o_orderkey < 100"), orders.where("o_orderkey >= 100"))
+    plan = ParquetTable(spark, "t", {"o_orderkey": "int8"}, {"filename": paths}).explain_scan([Filter("o_orderkey", "<", 50)])
+    return spark.createDataFrame([(name, len(f.groups)) for name, f in zip(("low", "high"), plan.files, strict=True)], "file string, groups int")
+
+
+@query("SELECT CAST(row_number() OVER () - 1 AS BIGINT) AS pos, n_nationkey AS k FROM (SELECT * FROM nation WHERE n_regionkey = 2 UNION ALL SELECT * FROM nation WHERE n_regionkey = 0) t")
+def file_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows file by file, in the order of the list."""
+    nation = table(spark, sf_dir, "nation")
+    paths = files_of(spark, nation.where("n_regionkey = 2"), nation.where("n_regionkey = 0"))
+    rows = ParquetTable(spark, "t", {"k": ("int4", {"column_name": "n_nationkey"})}, {"filename": paths}).in_file_order()
+    return compat.with_position(rows)
+
+
+@query("SELECT c AS codec, r_name FROM region, (VALUES ('gzip'), ('none'), ('snappy'), ('zstd')) v(c)")
+def codecs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    region, out = table(spark, sf_dir, "region"), None
+    for codec in ("gzip", "none", "snappy", "zstd"):
+        t = ParquetTable(spark, "t", {"r_name": "text"}, {"filename": files_of(spark, region, codec=codec)})
+        part = t.df().select(F.lit(codec).alias("codec"), "r_name")
+        out = part if out is None else out.union(part)
+    return out
+
+
+@query("SELECT s_suppkey FROM supplier WHERE s_suppkey < 50")
+def empty_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files without rows are left out."""
+    supplier = table(spark, sf_dir, "supplier").select("s_suppkey")
+    paths = files_of(spark, supplier.limit(0), supplier, supplier.limit(0))
+    return ParquetTable(spark, "t", {"s_suppkey": "int8"}, {"filename": paths}).df([Filter("s_suppkey", "<", 50)])
+
+
+@query("SELECT 'zstd' AS codec, count(*) AS n FROM supplier UNION ALL SELECT 'snappy', 1")
+def compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column's codec goes before the table's and before that of the file; a new file takes the table's."""
+    from siltstone.sources.footers import read_footer
+
+    columns = SUPPLIER | {"s_name": ("text", {"compression_type": "zstd"})}
+    (path,) = files_of(spark, table(spark, sf_dir, "supplier"), codec="none")
+    kept = ParquetTable(spark, "t", columns, {"filename": [path], "compression_type": "snappy"})
+    Modifier(kept).update({"s_acctbal": F.col("s_acctbal")}, F.col("s_suppkey") == 1)
+    fresh = ParquetTable(spark, "t", SUPPLIER, {"dirname": scratch(spark), "compression_type": "snappy"})
+    Store(spark).make_folder(fresh.options.dirname)
+    Modifier(fresh).insert([{"s_suppkey": 1}])
+    rows = [(read_footer(spark, t.files()[0]).codec, t.df().count()) for t in (kept, fresh)]
+    return spark.createDataFrame(rows, "codec string, n long")
+
+
+@query("SELECT concat('r', n_regionkey, '.parquet') AS file, count(*) AS n, min(n_name) AS first FROM nation GROUP BY ALL")
+def insert_selector(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A selector names the file of each new row."""
+    options = {"dirname": scratch(spark), "insert_file_selector": "concat(dirname, '/r', n_regionkey, '.parquet')"}
+    Store(spark).make_folder(options["dirname"])
+    t = ParquetTable(spark, "t", COLUMNS["nation"], options)
+    Modifier(t).insert(declared(spark, sf_dir, "nation").df())
+    rows = t.df(positions=True).groupBy(F.substring_index("__file", "/", -1).alias("file"))
+    return rows.agg(F.count("*").alias("n"), F.min("n_name").alias("first"))
+
+
+@query("SELECT CAST(n_nationkey AS DOUBLE) AS k, n_name AS name, CAST(n_regionkey AS DOUBLE) AS second FROM nation UNION ALL SELECT 99, NULL, NULL")
+def insert_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON documents with a map and a list become a file's map and list."""
+    folder = scratch(spark)
+    Store(spark).make_folder(folder)
+    t = ParquetTable(spark, "t", {"v": "jsonb"}, {"dirname": folder, "schemaless": "true", "key_columns": "k"})
+    nation = declared(spark, sf_dir, "nation").df()
+    row = F.struct(F.col("n_nationkey").alias("k"), F.create_map(F.lit("name"), "n_name").alias("m"), F.array(F.lit(1), "n_regionkey").alias("l"))
+    Modifier(t).insert(nation.select(F.to_json(row)))
+    Modifier(t).insert([{"k": 99}])
+    doc = Document(t)
+    return doc.df().select(doc.get("k").alias("k"), doc.get("m", "name").alias("name"), doc.get("l", 1).alias("second"))
+
+
+@query("SELECT n_name AS a, CAST(n_nationkey AS BIGINT) AS b FROM nation")
+def import_explicit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns named by hand over the files of a function."""
+    catalog = Catalog(spark)
+    catalog.import_parquet_explicit("n", ["n_name", "n_nationkey"], ["text", "int8"], lambda arg: [f"{arg}/nation.parquet"], sf_dir)
+    return catalog.sql("SELECT n_name AS a, n_nationkey AS b FROM n")
+
+
+@query("SELECT count(*) AS tables, CAST(sum(n) AS BIGINT) AS rows FROM (SELECT count(*) AS n FROM nation UNION ALL SELECT count(*) FROM region) t")
+def import_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table for each file of a folder, but one."""
+    folder = scratch(spark)
+    for name in ("nation", "region", "supplier"):
+        (path,) = files_of(spark, table(spark, sf_dir, name))
+        Store(spark).make_folder(folder)
+        Store(spark).replace(path, f"{folder}/{name}.parquet")
+    catalog = Catalog(spark)
+    made = catalog.import_foreign_schema(folder, except_=["supplier"])
+    counts = catalog.sql(" UNION ALL ".join(f"SELECT count(*) AS n FROM {t}" for t in made))
+    return counts.agg(F.count("*").alias("tables"), F.sum("n").alias("rows"))
+
+
+@query("SELECT r_regionkey AS k, upper(CASE WHEN r_regionkey = 1 THEN 'changed' ELSE r_name END) AS loud, 'none' AS note FROM region")
+def generated_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A default, and a column worked out again at each change."""
+    folder = scratch(spark)
+    Store(spark).make_folder(folder)
+    t = ParquetTable(spark, "t", {"k": ("int4", {"key": "true"}), "name": "text"}, {"dirname": folder})
+    t.add_column("loud", "text", generated="upper(name)")
+    t.add_column("note", "text", default="none")
+    region = declared(spark, sf_dir, "region").df()
+    Modifier(t).insert(region.select(F.col("r_regionkey").alias("k"), F.col("r_name").alias("name")))
+    Modifier(t).update({"name": F.lit("changed")}, F.col("k") == 1)
+    return t.df().select("k", "loud", "note")
+
+
+@query("SELECT s_suppkey, CASE WHEN s_suppkey < 10 THEN 'x' ELSE s_name END AS s_name FROM supplier WHERE s_suppkey >= 5")
+def change_through_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    catalog = Catalog(spark)
+    catalog.tables["s"] = copied(spark, sf_dir, "supplier", SUPPLIER)
+    catalog.create_view("all_of_s", "SELECT * FROM s")
+    catalog.update("all_of_s", {"s_name": F.lit("x")}, F.col("s_suppkey") < 10)
+    catalog.delete("all_of_s", F.col("s_suppkey") < 5)
+    return catalog.sql("SELECT s_suppkey, s_name FROM all_of_s")
+
+
+@query("SELECT v.n_name, w.r_name FROM nation v JOIN region w ON v.n_regionkey = w.r_regionkey WHERE v.n_nationkey > 5 AND w.r_regionkey < 3")
+def join_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A join of two views, one over the other's kind of name."""
+    catalog = Catalog(spark)
+    catalog.tables.update({t: declared(spark, sf_dir, t) for t in ("nation", "region")})
+    catalog.create_view("late", "SELECT n_name, n_regionkey FROM nation WHERE n_nationkey > 5")
+    catalog.create_view("low", "SELECT r_name, r_regionkey AS low FROM region WHERE r_regionkey < 3")
+    return catalog.sql("SELECT n_name, r_name FROM late JOIN low ON n_regionkey = low")
+
+
+@query("SELECT s_suppkey FROM supplier WHERE s_suppkey % 7 <> 0")
+def change_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """INSERT deals rows over parts by their range; UPDATE and DELETE reach all parts."""
+    catalog, store = Catalog(spark), Store(spark)
+    for name in ("low", "high"):
+        folder = scratch(spark)
+        store.make_folder(folder)
+        catalog.create_table(name, SUPPLIER, dirname=folder)
+    parts = catalog.create_partitioned("s", "s_suppkey", [("low", None, 40), ("high", 40, None)])
+    schema = declared(spark, sf_dir, "supplier").df()
+    parts.insert(schema)
+    parts.update({"s_name": F.lit("gone")}, F.col("s_suppkey") % 7 == 0)
+    parts.delete(F.col("s_name") == "gone")
+    return parts.df().select("s_suppkey")
+
+
+@query("SELECT 'made' AS step, 0 AS n UNION ALL SELECT 'filled', 1 UNION ALL SELECT 'dropped', 0")
+def datasource(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An empty file is made for a table, filled, and dropped."""
+    folder, catalog = scratch(spark), Catalog(spark)
+    Store(spark).make_folder(folder)
+    t = ParquetTable(spark, "t", {"k": "int4"}, {"dirname": folder})
+    catalog.tables["t"] = t
+    catalog.create_datasource("t")
+    rows = [("made", t.df().count())]
+    catalog.insert("t", [{"k": 1}])
+    rows.append(("filled", t.df().count()))
+    catalog.drop_datasource("t")
+    rows.append(("dropped", len(t.files())))
+    return spark.createDataFrame(rows, "step string, n int")
+
+
+@query("SELECT c_mktsegment, CAST(sum(c_nationkey) % 97 AS BIGINT) AS u FROM customer WHERE c_nationkey * 2 > 10 GROUP BY c_mktsegment")
+def user_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A function and an aggregate of the user's own in SQL."""
+    spark.udf.register("sum_97", F.pandas_udf(lambda x: int(x.sum()) % 97, "long", F.PandasUDFType.GROUPED_AGG))
+    spark.udf.register("twice", F.pandas_udf(lambda x: x * 2, "long", F.PandasUDFType.SCALAR))
+    catalog = Catalog(spark)
+    catalog.tables["customer"] = declared(spark, sf_dir, "customer")
+    # aggregates in Python take whole groups; here of one row a nation and segment
+    return catalog.sql(
+        "SELECT c_mktsegment, sum_97(s) AS u FROM (SELECT c_mktsegment, sum(c_nationkey) AS s FROM customer"
+        " WHERE twice(c_nationkey) > 10 GROUP BY c_mktsegment, c_nationkey) GROUP BY c_mktsegment"
+    )
+
+
+same_sql("random", "SELECT count(*) AS n FROM orders WHERE rand() >= 0", "SELECT count(*) AS n FROM orders WHERE random() >= 0")
+same_sql(
+    "agg_outer_in_subquery",
+    "WITH c AS (SELECT c_nationkey, count(*) AS m FROM customer GROUP BY c_nationkey)"
+    " SELECT n_name, m, (SELECT count(*) FROM supplier s WHERE s.s_nationkey = c_nationkey AND s.s_suppkey > m) AS more FROM c JOIN nation ON n_nationkey = c_nationkey",
+    "SELECT n_name, m, more FROM (SELECT c_nationkey, count(*) AS m, (SELECT count(*) FROM supplier s WHERE s.s_nationkey = c_nationkey AND s.s_suppkey > count(c_custkey)) AS more"
+    " FROM customer c GROUP BY c_nationkey) x JOIN nation ON n_nationkey = c_nationkey",
+    "customer", "nation", "supplier",
+)
+
+
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return QUERIES["agg_basic"](configure(spark), sf_dir)

@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 import siltstone
 from siltstone.errors import CatalogError, OptionError, UnsupportedOperation
 from siltstone.operators.modify import Modifier
+from siltstone.plans import conditions, prune
 from siltstone.session import configure
 from siltstone.sources.files import Store, check_one_kind
 from siltstone.sources.options import LONGEST_NAME, ServerConfig, TableOptions
 from siltstone.sources.table import ParquetTable, first_schema
-from siltstone.sources.types import import_type
+from siltstone.sources.types import import_type, kind_of
 
 
 class PartitionedTable:
@@ -24,19 +25,27 @@ class PartitionedTable:
     def __init__(self, name: str, column: str, parts: Sequence[tuple[ParquetTable, object, object]]) -> None:
         self.name, self.column, self.parts = name, column, list(parts)
 
-    def df(self, filters: Iterable = ()) -> DataFrame:
-        """The union of all parts. Each carries its range as a predicate, so a contradictory filter empties it."""
-        out = None
-        for table, low, high in self.parts:
+    def kept(self, *alternatives: Iterable[prune.Filter]) -> list[tuple[ParquetTable, object, object]]:
+        """The parts that can hold a row for any of several sets of filters."""
+        kinds = {c.name: kind_of(c.kind) for table, _, _ in self.parts for c in table.columns}
+        own = [[f for f in filters if f.column == self.column] for filters in alternatives]
+        return [p for p in self.parts if any(prune.range_may_match(p[1], p[2], f, kinds.get(self.column)) for f in own)]
+
+    def df(self, filters: Iterable[prune.Filter] = (), parts: Sequence[tuple[ParquetTable, object, object]] | None = None) -> DataFrame:
+        """The union of the parts that filters leave, or of those given, each with its range as a condition."""
+        if not self.parts:
+            raise CatalogError(f"partitioned table {self.name!r} has no parts")
+        filters, out = list(filters), None
+        parts = self.kept(filters) if parts is None else parts
+        for table, low, high in parts or self.parts[:1]:
             c = F.col(f"`{self.column}`")
             part = table.df(filters)
             if low is not None:
                 part = part.where(c >= F.lit(low).cast(part.schema[self.column].dataType))
             if high is not None:
                 part = part.where(c < F.lit(high).cast(part.schema[self.column].dataType))
+            part = part if parts else part.limit(0)
             out = part if out is None else out.unionByName(part, allowMissingColumns=True)
-        if out is None:
-            raise CatalogError(f"partitioned table {self.name!r} has no parts")
         return out
 
     def insert(self, rows) -> None:
@@ -152,15 +161,27 @@ class Catalog:
 
     def sql(self, query: str, args: Mapping[str, object] | Sequence[object] | None = None) -> DataFrame:
         """A query over the catalog's tables and views, whose files are looked up now; args fills its parameters."""
-        for name in self._used(query):
-            self.tables[name].df().createOrReplaceTempView(f"`{name}`")
-        for name in self.views:
-            if re.search(rf"(?<!\w){re.escape(name)}(?!\w)", query):
-                self.sql(self.views[name]).createOrReplaceTempView(f"`{name}`")
+        self._register(query, ())
         return self.spark.sql(query, args=args) if args else self.spark.sql(query)
 
-    def _used(self, query: str) -> list[str]:
-        return [n for n in self.tables if re.search(rf"(?<!\w){re.escape(n)}(?!\w)", query)]
+    def _register(self, query: str, within: tuple[str, ...]) -> None:
+        """Temporary views of the tables and views that a query names; `within`: views whose queries lead to it."""
+        used: dict[str, list[list[prune.Filter]]] = {}
+        for reference in conditions.references(self.spark, query):
+            used.setdefault(reference.name, []).append(reference.filters())
+        for name, alternatives in used.items():
+            if name in self.views:
+                if name in within:
+                    raise CatalogError(f"view {name!r} leads back to itself")
+                self._register(self.views[name], (*within, name))
+                self.spark.sql(self.views[name]).createOrReplaceTempView(f"`{name}`")
+            elif name in self.tables:
+                table = self.tables[name]
+                if isinstance(table, PartitionedTable):
+                    df = table.df(parts=table.kept(*alternatives))
+                else:
+                    df = table.df()
+                df.createOrReplaceTempView(f"`{name}`")
 
     def insert(self, name: str, rows, **more) -> None:
         target = self.table(name)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from urllib.parse import urlsplit
 
 from pyspark.sql import SparkSession
@@ -75,6 +76,18 @@ class Store:
                 gone |= {n for n in own if n.rpartition("/")[2] not in there}
         return next((n for n in names if n in gone), None)
 
+    def fingerprint(self, names: list[str]) -> str:
+        """Changes with the names, lengths and times of files."""
+        found = [self.fs(n).getFileStatus(self.path(n)) for n in names]
+        told = "\n".join(f"{n} {s.getLen()} {s.getModificationTime()}" for n, s in zip(names, found, strict=True))
+        return hashlib.md5(told.encode()).hexdigest()
+
+    def write_bytes(self, name: str, data: bytes) -> None:
+        """A small file."""
+        out = self.fs(name).create(self.path(name), True)
+        out.write(bytearray(data))
+        out.close()
+
     def make_folder(self, name: str) -> None:
         self.fs(name).mkdirs(self.path(name))
 

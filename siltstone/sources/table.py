@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltstone.errors import CatalogError, OptionError
-from siltstone.plans import prune
+from siltstone.plans import conditions, prune
+from siltstone.plans.presorted import read_presorted, save_presorted
 from siltstone.session import configure
 from siltstone.sources.files import table_files
 from siltstone.sources.footers import Footer, Surveyed, read_footer, read_footers, survey
@@ -200,6 +201,13 @@ class ParquetTable:
             out = out.where(f.column_expression())
         return out
 
+    def where(self, condition: str) -> DataFrame:
+        """The rows that pass a SQL condition; what it compares with constants also leaves out files. A column named
+        like another in other case, or qualified, is left to Spark."""
+        names = {c.name for c in self.columns}
+        found = [] if self.options.schemaless else conditions.filters_of(self.spark, condition)
+        return self.df([f for f in found if f.column in names]).where(condition)
+
     def _declared(self, group: FileGroup, schema: T.StructType, positions: bool) -> DataFrame:
         df = self.read(group, positions)
         out: list[Column] = []
@@ -242,6 +250,15 @@ class ParquetTable:
             self.column(name)
         return self.df().orderBy(*[F.col(f"`{c}`").asc_nulls_last() for c in self.options.sorted])
 
+    def presorted(self, name: str, buckets: int) -> DataFrame:
+        """The rows by the managed copy `name`, dealt into buckets and sorted by the columns of `sorted`; it is made
+        where it doesn't exist. Joins and groups on those columns then need neither shuffle nor sort."""
+        if not self.options.sorted:
+            raise OptionError(f"table {self.name!r} has no `sorted` columns")
+        if not self.spark.catalog.tableExists(f"`{name}`"):
+            save_presorted(self.df(), name, list(self.options.sorted), buckets)
+        return read_presorted(self.spark, name)
+
     # -- plans -----------------------------------------------------------------------------------------------------
 
     def explain_scan(self, filters: Iterable[prune.Filter] = (), ordered: bool = False) -> prune.ScanPlan:

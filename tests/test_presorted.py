@@ -1,3 +1,4 @@
+from siltstone.plans.queries import QUERIES
 from siltstone.plans.presorted import read_presorted, save_presorted
 from siltstone.session import table
 
@@ -13,3 +14,18 @@ def test_joins_and_groups_without_shuffle(spark, sf_dir):
     assert joined.count() == lines.select("l_orderkey").distinct().count()
     spark.sql("DROP TABLE orders_sorted")
     spark.sql("DROP TABLE lines_sorted")
+
+
+def test_presorted_queries_neither_shuffle_nor_sort(spark, sf_dir):
+    for name in ("join_merge_sorted", "group_presorted"):
+        df = QUERIES[name](spark, sf_dir)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Sort [" not in plan, plan
+    assert "SortMergeJoin" in QUERIES["join_merge_sorted"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_partitions_are_left_out(spark, sf_dir):
+    for name in ("part_prune", "part_prune_sql"):
+        df = QUERIES[name](spark, sf_dir)
+        df.collect()
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 2, name

@@ -287,3 +287,32 @@ def test_new_files_as_a_stream(spark, tmp_path):
     assert drain() == 6
     fixtures.example2(tmp_path / "in")
     assert drain() == 11
+
+
+def test_views_are_found_by_the_parse(spark, data):
+    catalog = Catalog(spark)
+    catalog.create_table("t", {"u": ("int8", {"column_name": "one"})}, filename=data["example1"])
+    catalog.create_view("u", "SELECT u FROM t")  # its own name is a column
+    assert [r.u for r in catalog.sql("SELECT u, 'v' AS s FROM u WHERE u < 3").collect()] == [1, 2]
+    catalog.create_view("a", "SELECT * FROM b")
+    catalog.create_view("b", "SELECT * FROM a")
+    with pytest.raises(CatalogError, match="leads back"):
+        catalog.sql("SELECT * FROM a")
+    assert catalog.sql("SELECT 'a' AS b").collect()[0].b == "a"
+    assert catalog.sql("WITH t AS (SELECT 7 AS u) SELECT * FROM t").collect()[0].u == 7
+
+
+def test_many_files_are_surveyed_in_tasks(spark, tmp_path):
+    import time
+
+    import pyarrow.parquet as pq
+
+    for i in range(1500):
+        pq.write_table(pa.table({"x": [i], **({"y": [1]} if i % 2 else {})}), tmp_path / f"{i:04d}.parquet")
+    spark.range(1).count()
+    start = time.monotonic()
+    paths = [str(tmp_path / f"{i:04d}.parquet") for i in range(1500)]
+    table = ParquetTable(spark, "t", {"x": "int8", "y": "int8"}, {"filename": paths})
+    df = table.df([Filter("x", ">=", 1490)])
+    assert time.monotonic() - start < 20
+    assert sorted(r.x for r in df.collect()) == list(range(1490, 1500)) and len(df.inputFiles()) == 10
