@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import warnings
 from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -225,6 +226,7 @@ class Catalog:
         options = dict(options or {}) | {"files_func": files_func, "files_func_arg": arg}
         columns: dict[str, object] = dict(zip(names, types, strict=True))
         if TableOptions.parse(options).schemaless:
+            warnings.warn("a schemaless table has no columns of its own: names and types are ignored", stacklevel=2)
             columns = {"v": "jsonb"}
         return self.create_table(name, columns, **options)
 
