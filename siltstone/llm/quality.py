@@ -15,6 +15,8 @@ table gives an empty result. Result columns win over columns of the same name; o
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,7 +28,7 @@ LEAST_WORDS, MOST_REPEATED_PERCENT = 50, 50
 
 #: A line that reads as text ends so (Latin, Arabic, Devanagari, Ethiopic, Burmese, Khmer, Armenian, CJK), perhaps inside
 #: quotes or brackets.
-SENTENCE_END = r"[.!?…:;؟۔।॥።။។։。！？．｡][\"'”’»)\]]*\z"
+SENTENCE_ENDS, CLOSING = ".!?…:;؟۔।॥።။։។。！？．｡", "\"'”’»)]"
 #: Marks of lines that aren't prose. So many of them, and one for every so many characters of words, fail a line; so a
 #: long line isn't lost for a few.
 SHOUT, SEPARATOR, LINK = "!!", "[|•·]| [›»] ", r"(?i)https?://|www\."
@@ -57,8 +59,8 @@ BOILERPLATE = (
 MOST_LOST_PERCENT = 50
 
 
-#: What a line without any of these can't fail by, besides its end.
-SUSPECT = f"(?i){SHOUT}|[{SYMBOLS}•·›»]|https?://|www\\.|" + "|".join(BOILERPLATE)
+#: What a text or line without any of these, or of the phrases, can't fail by besides its end.
+MARKS = f"[{SYMBOLS}•·›»]|{SHOUT}|(?i:https?://|www\\.)"
 
 
 def visible(text: Column) -> Column:
@@ -70,18 +72,25 @@ def count_of(text: Column, expression: str) -> Column:
     return F.regexp_count(text, F.lit(expression))
 
 
-def line_fails(line: Column) -> Column:
-    """The verdict on one line that has a word."""
+def has_phrase(text: Column) -> Column:
+    low = F.lower(text)  # finds all that differ by A-Z, and perhaps more
+    return functools.reduce(lambda a, b: a | b, [F.contains(low, F.lit(p)) for p in BOILERPLATE])
+
+
+def line_fails(line: Column, marks: Column, phrases: Column) -> Column:
+    """The verdict on one line that has a word, of a text that has marks, or perhaps phrases."""
     seen = visible(line)
     dense = lambda n, least, chars: (n >= least) & (n * chars >= seen)
     marked = (
         dense(count_of(line, SHOUT), LEAST_SHOUTS, CHARS_A_SHOUT)
         | dense(count_of(line, SEPARATOR), LEAST_SEPARATORS, CHARS_A_SEPARATOR)
         | dense(count_of(line, LINK), LEAST_LINKS, CHARS_A_LINK)
-        | dense(count_of(line, "(?i)" + "|".join(BOILERPLATE)), 1, CHARS_A_PHRASE)
         | (count_of(line, f"[{SYMBOLS}]") * 100 > seen * MOST_SYMBOL_PERCENT)
     )
-    return ~F.rtrim(line, F.lit(SPACE_CHARS)).rlike(SENTENCE_END) | F.when(line.rlike(SUSPECT), marked).otherwise(F.lit(False))
+    boilerplate = dense(count_of(line, "(?i)" + "|".join(BOILERPLATE)), 1, CHARS_A_PHRASE)
+    end = F.right(F.rtrim(F.rtrim(line, F.lit(SPACE_CHARS)), F.lit(CLOSING)), F.lit(1))
+    never = F.lit(False)
+    return ~end.isin(*SENTENCE_ENDS) | F.when(marks & line.rlike(MARKS), marked).otherwise(never) | F.when(phrases, boilerplate).otherwise(never)
 
 
 def has_word(line: Column) -> Column:
@@ -126,9 +135,11 @@ def judge(df: DataFrame, id_column: str = "doc_id", text_column: str = "text", k
     t = F.col("t")
     own = own.withColumn("w", words(t)).withColumn("lines", F.split(t, "\n", -1))
     own = own.withColumn("n_words", F.size("w").cast("long"))
-    # every line with its verdict, worked out once
-    bad = lambda line: has_word(line) & line_fails(line)
-    own = own.withColumn("marked", F.transform("lines", lambda line: F.struct(line.alias("line"), bad(line).alias("bad"))))
+    # what holds for the text goes into a struct that the outer function names, or it would be worked out for each line
+    text = F.struct(F.col("lines").alias("lines"), t.rlike(MARKS).alias("marks"), has_phrase(t).alias("phrases"))
+    bad = lambda line, x: has_word(line) & line_fails(line, x["marks"], x["phrases"])
+    marked = F.transform(F.array(text), lambda x: F.transform(x["lines"], lambda line: F.struct(line.alias("line"), bad(line, x).alias("bad"))))
+    own = own.withColumn("marked", marked[0])
     own = own.withColumn("full", F.filter("lines", has_word))
     own = own.withColumn("failed", F.transform(F.filter("marked", lambda x: x["bad"]), lambda x: x["line"]))
     own = repeated_words(own, "w", "n_repeat_words")
