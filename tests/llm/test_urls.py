@@ -110,3 +110,11 @@ def test_oracle_of_linked_pages(spark, tmp_path):
 def test_no_python(spark, sf_dir):
     plan = judge_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"), RULES)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_clashing_names(spark):
+    names = ["page_id", "url", "html", "host", "path", "rule", "verdict", "node", "component", "a", "b", "_n", "_by", "target"]
+    rows = [(str(i), f"http://h{i}.net/{i}", f'<link rel="canonical" href="http://y.com/de/{i}">', *["mine"] * 11) for i in range(3)]
+    got = judge_urls(spark.createDataFrame(rows, names), RULES)
+    assert got.columns == ["page_id", "host", "path", "rule", "verdict"]
+    assert sorted(map(tuple, got.collect())) == [(str(i), f"h{i}.net", f"/{i}", None, "block") for i in range(3)]
