@@ -18,33 +18,40 @@ from siltstone.llm.common import durable
 HOT_EDGES, HOT_SHARE = 1000, 5000
 
 
-def _with_least(edges: DataFrame, least: DataFrame, n_edges: int) -> DataFrame:
-    """edges (a, b) with m of least (a, m, n)."""
-    many = max(HOT_EDGES, n_edges // HOT_SHARE)
+def _with_least(edges: DataFrame, least: DataFrame, many: int | None) -> DataFrame:
+    """edges (a, b) with m of least (a, m, n); many: the degree over which a node is hot, None where none is."""
+    if many is None:
+        return edges.join(least.select("a", "m"), "a")
     hot = F.broadcast(least.where(F.col("n") > many).select("a", "m"))
     cold = least.where(F.col("n") <= many).select("a", "m")
     return edges.join(hot, "a").union(edges.join(hot, "a", "left_anti").join(cold, "a"))
 
 
-def _large_star(edges: DataFrame, n_edges: int) -> DataFrame:
+def _both(edges: DataFrame) -> DataFrame:
+    return edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+
+
+def _large_star(edges: DataFrame, many: int | None) -> DataFrame:
     """Every neighbour greater than u hangs on the least of u and its neighbours."""
-    both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    both = _both(edges)
     least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count("*").alias("n"))
-    joined = _with_least(both.where("b > a"), least, n_edges)
+    joined = _with_least(both.where("b > a"), least, many)
     return joined.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
 
 
-def _small_star(edges: DataFrame, n_edges: int) -> DataFrame:
-    """u and its smaller neighbours hang on the least of these."""
+def _small_star(edges: DataFrame, many: int | None) -> DataFrame:
+    """u and its smaller neighbours hang on the least of these; a node has no more of them than it had neighbours."""
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = down.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
-    moved = _with_least(down, least, n_edges).select(F.col("b").alias("a"), F.col("m").alias("b"))
+    moved = _with_least(down, least, many).select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.union(least.select("a", F.col("m").alias("b"))).where("a <> b")
 
 
-def _state(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
-    return row["n"], row["h"]
+def _state(edges: DataFrame) -> tuple[tuple, int]:
+    """What tells two steps apart, and the most edges that a node has."""
+    nodes = _both(edges).groupBy("a").agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h"))
+    row = nodes.agg(F.sum("n").alias("n"), F.sum("h").alias("h"), F.max("n").alias("most")).first()
+    return (row["n"] or 0, row["h"]), row["most"] or 0
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -53,10 +60,11 @@ def connected_components(edges: DataFrame) -> DataFrame:
     edges: (a, b), any order and direction; loops, nulls and repeats are ignored."""
     clean = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     now = durable(clean)
-    before, state = None, _state(now)
+    before, (state, most) = None, _state(now)
     while state[0] and state != before:
-        before = state
-        now = durable(_small_star(_large_star(now, state[0]), state[0]).distinct())
-        state = _state(now)
+        before, many = state, max(HOT_EDGES, state[0] // 2 // HOT_SHARE)
+        many = many if most > many else None
+        now = durable(_small_star(_large_star(now, many), many).distinct())
+        state, most = _state(now)
     roots = now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots)
