@@ -12,7 +12,8 @@ spans of its kind. Base spans always stay.
 
 The graph holds only what can matter: patterns with enough known instances are the frontier, and all that follows one of
 them anywhere is gathered by a pass over the texts, so that a share counts every word there. New instances widen the
-frontier by a second pass. Everything is built from DataFrame functions. Only distinct (pattern, token) pairs of the
+frontier by a second pass. Before a pass over all texts, what follows a pattern in a 64th of them rules out those whose
+share can't be reached any more, which are most of those that have their instances by chance. Everything is built from DataFrame functions. Only distinct (pattern, token) pairs of the
 frontier and few columns a document are shuffled, never texts; they are aggregated partially first, so a pattern that a
 third of all tokens follow is one row to the rest of the plan. Places are worked out for texts with hits alone.
 
@@ -26,6 +27,7 @@ of a pattern go to the kind listed first. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import functools
 import itertools
 
 from pyspark.sql import Column, DataFrame, Window
@@ -61,6 +63,10 @@ LEAST_SUPPORT, LEAST_SCORE = 3, 0.7
 LOOSE_SUPPORT, LOOSE_MORE = 5, 3
 #: Rows of patterns or instances that are still broadcast.
 BROADCAST_ROWS = 100_000
+#: Patterns are first tried on one text in so many; that only rules out, it never accepts.
+PARTS = 64
+#: So few words are first looked for in whole texts.
+FEW_WORDS = 32
 MATCHES = "array<struct<s:long,e:long,v:string>>"
 SPAN = "struct<kind:string,start:long,end:long>"
 
@@ -138,11 +144,11 @@ def tokens_of(texts: DataFrame, *keep: str, only=None) -> DataFrame:
     w, n = F.col("w"), F.size("w")
     own = texts.select(*keep, F.regexp_extract_all("t", F.lit(TOKEN), F.lit(0)).alias("w"))
     edge = F.array(F.lit(""))
-    low = F.transform(w, lambda x: F.lower(x))
-    own = own.select(*keep, "w", F.concat(edge, edge, low, edge).alias("c"))
+    own = own.select(*keep, "w", F.concat(edge, edge, "w", edge).alias("c"))
     rows = F.arrays_zip(F.slice("c", 1, n).alias("l2"), F.slice("c", 2, n).alias("l1"), w.alias("v"), F.slice("c", 4, n).alias("r1"))
     rows = rows if only is None else F.filter(rows, lambda x: only(x["v"]))
-    return own.select(*keep, F.posexplode(rows).alias("i", "x")).select(*keep, "i", "x.*")
+    flat = own.select(*keep, F.posexplode(rows).alias("i", "x"))
+    return flat.select(*keep, "i", *[F.lower(f"x.{c}").alias(c) for c in ("l2", "l1")], "x.v", F.lower("x.r1").alias("r1"))
 
 
 def with_patterns(rows: DataFrame) -> DataFrame:
@@ -162,17 +168,38 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def _followers(texts: DataFrame, patterns: DataFrame, *keep: str) -> DataFrame:
-    """Rows (keep, p, l1, v) of all tokens that stand in one of patterns (p, l1, ...), with the columns of patterns."""
-    words = _small(patterns.select("l1").distinct())
-    near = with_patterns(tokens_of(texts, *keep).join(words, "l1", "left_semi"))
-    return near.select(*keep, "p", "v").join(_small(patterns), "p")
+def _near(texts: DataFrame, patterns: DataFrame, *keep: str) -> DataFrame:
+    """Tokens of tokens_of() that may stand in patterns (p, l1, ...), by the token before; for words that only patterns
+    with a shape name, tokens that have one. Texts that hold none of few such words aren't taken apart."""
+    shaped = F.startswith(F.col("p"), F.lit("s "))
+    words = durable(patterns.groupBy("l1").agg(F.min(shaped).alias("shaped")))
+    listed = words.select("l1").limit(FEW_WORDS + 1).collect()
+    if len(listed) <= FEW_WORDS:
+        low = F.lower("t")
+        texts = texts.where(functools.reduce(lambda a, b: a | b, [F.contains(low, F.lit(r[0])) for r in listed], F.lit(False)))
+    rows = tokens_of(texts, *keep).join(_small(words), "l1")
+    return rows.where(~F.col("shaped") | F.col("v").rlike("[0-9@]")).drop("shaped")
+
+
+def _followers(texts: DataFrame, patterns: DataFrame) -> DataFrame:
+    """Rows (p, l1, v) of all tokens that stand in one of patterns (p, l1)."""
+    return with_patterns(_near(texts, patterns)).select("p", "v").join(_small(patterns), "p").select("p", "l1", "v")
+
+
+def _loose(p: Column) -> Column:
+    return ~F.startswith(p, F.lit("2 "))
 
 
 def _frontier(pairs: DataFrame) -> DataFrame:
-    """Patterns (p, l1) with enough distinct known instances of one kind, from pairs (p, l1, v, kind)."""
+    """Patterns (p, l1, known) with enough distinct known instances of one kind, from pairs (p, l1, v, kind)."""
     counts = pairs.groupBy("p", "l1", "kind").agg(F.count_distinct("v").alias("n"))
-    return counts.where(F.col("n") >= LEAST_SUPPORT).select("p", "l1").distinct()
+    known = counts.groupBy("p", "l1").agg(F.max("n").alias("known"))
+    return known.where(F.col("known") >= F.when(_loose(F.col("p")), LOOSE_SUPPORT).otherwise(LEAST_SUPPORT)).where(_possible(F.col("known")))
+
+
+def _possible(n: Column) -> Column:
+    """Whether `known` of n instances or more can make a confident pattern."""
+    return F.col("known") >= LEAST_SCORE * (n + F.when(_loose(F.col("p")), LOOSE_MORE).otherwise(0)) - 1e-9
 
 
 def _scored(graph: DataFrame) -> DataFrame:
@@ -180,9 +207,9 @@ def _scored(graph: DataFrame) -> DataFrame:
     by_kind = F.array_sort(F.array(*[F.struct((-F.count(F.when(F.col("kind") == k, 1))).alias("n"), F.lit(i).alias("i")) for i, k in enumerate(ALL_KINDS)]))
     scored = graph.groupBy("p", "l1").agg(F.count("*").alias("n"), by_kind[0].alias("best"))
     scored = scored.withColumn("known", -F.col("best.n"))
-    tight = F.startswith(F.col("p"), F.lit("2 "))
-    scored = scored.withColumn("score", F.col("known") / (F.col("n") + F.when(tight, 0).otherwise(LOOSE_MORE)))
-    enough = F.col("known") >= F.when(tight, LEAST_SUPPORT).otherwise(LOOSE_SUPPORT)
+    loose = _loose(F.col("p"))
+    scored = scored.withColumn("score", F.col("known") / (F.col("n") + F.when(loose, LOOSE_MORE).otherwise(0)))
+    enough = F.col("known") >= F.when(loose, LOOSE_SUPPORT).otherwise(LEAST_SUPPORT)
     kind = F.element_at(F.array(*map(F.lit, ALL_KINDS)), F.col("best.i") + 1)
     return scored.where(enough & (F.col("score") >= LEAST_SCORE)).select("p", "l1", kind.alias("k"), "score")
 
@@ -196,40 +223,69 @@ def _accepted(graph: DataFrame, patterns: DataFrame) -> DataFrame:
     return by_kind.groupBy("v").agg(F.max_by("k", F.struct("score", -order)).alias("k"))
 
 
+class _Graph:
+    """What is gathered of the pattern-instance graph: `pairs`, the patterns of known instances, and `rows`, all that
+    follows the patterns that can still become confident (p, l1, v, kind)."""
+
+    def __init__(self, found: DataFrame) -> None:
+        self.found = found
+        seeds = tokens_of(found, only=lambda v: v.rlike("[0-9@]")).withColumn("kind", seed_kind(F.col("v"))).where("kind is not null")
+        self.pairs = durable(with_patterns(seeds).select("p", "l1", "v", "kind").distinct())
+        self.tested = self.looked = self.rows = None
+
+    def widen(self, instances: DataFrame | None) -> None:
+        """Gather the followers of patterns that have enough known instances by now."""
+        frontier = durable(_frontier(self.pairs))
+        # what follows a pattern in a part of the texts alone may be too much already
+        untested = frontier if self.tested is None else frontier.join(self.tested, "p", "left_anti")
+        untested = durable(untested.select("p", "l1"))
+        if not untested.isEmpty():
+            part = self.found.where(F.pmod(F.xxhash64("t"), F.lit(PARTS)) == 0)
+            counts = _followers(part, untested).distinct().groupBy("p").agg(F.count("*").alias("n"))
+            counts = untested.select("p").join(counts, "p", "left").select("p", F.coalesce("n", F.lit(0)).alias("n"))
+            self.tested = durable(counts if self.tested is None else self.tested.union(counts))
+        if self.tested is None:
+            return
+        able = frontier.join(self.tested, "p").where(_possible(F.col("n"))).select("p", "l1")
+        able = durable(able if self.looked is None else able.join(self.looked, "p", "left_anti"))
+        if able.isEmpty():
+            return
+        self.looked = durable(able if self.looked is None else self.looked.union(able))
+        more = _followers(self.found, able).distinct().withColumn("kind", seed_kind(F.col("v")))
+        if instances is not None:
+            names = instances.select("v", F.col("k").alias("new"))
+            more = more.join(names, "v", "left").select("p", "l1", "v", F.coalesce("kind", "new").alias("kind"))
+        self.rows = durable(more if self.rows is None else self.rows.union(more))
+
+    def learn(self, new: DataFrame) -> None:
+        """Make instances (v, k) known."""
+        named = new.select("v", F.col("k").alias("new"))
+        self.rows = durable(self.rows.join(named, "v", "left").select("p", "l1", "v", F.coalesce("kind", "new").alias("kind")))
+        seen = with_patterns(tokens_of(self.found).join(_small(named), "v")).select("p", "l1", "v", F.col("new").alias("kind"))
+        self.pairs = durable(self.pairs.union(seen.distinct()))
+
+
 def bootstrap(found: DataFrame, rounds: int | None = None) -> tuple[DataFrame, DataFrame] | None:
     """(patterns, instances) of high confidence from scanned rows: (p, l1, k) and (v, k), unseen tokens only; None if no
-    pattern has enough known instances.
+    pattern can become confident.
 
     Rounds end with the first that adds no instance, so the patterns are scored with every instance known; each makes at
     least one known, so there is an end. `rounds` stops earlier, with patterns as the last round scored them."""
-    seeds = with_patterns(tokens_of(found, only=lambda v: v.rlike("[0-9@]")).withColumn("kind", seed_kind(F.col("v"))).where("kind is not null"))
-    pairs = durable(seeds.select("p", "l1", "v", "kind").distinct())
-    frontier = durable(_frontier(pairs))
-    if frontier.isEmpty():
+    graph, instances = _Graph(found), None
+    graph.widen(None)
+    if graph.rows is None:
         return None
-    look = lambda patterns: _followers(found, patterns).select("p", "l1", "v").distinct().withColumn("kind", seed_kind(F.col("v")))
-    graph = durable(look(frontier))
-    patterns, instances = None, None
+    patterns = None
     for _ in itertools.count() if rounds is None else range(rounds):
-        patterns = durable(_scored(graph))
-        new = durable(_accepted(graph, patterns))
+        patterns = durable(_scored(graph.rows))
+        new = durable(_accepted(graph.rows, patterns))
         if new.isEmpty():
             break
         instances = new if instances is None else durable(instances.union(new))
-        named = new.select("v", F.col("k").alias("new"))
-        graph = graph.join(named, "v", "left").select("p", "l1", "v", F.coalesce("kind", "new").alias("kind"))
-        # where the new instances occur besides, more patterns may have enough of them
-        seen = with_patterns(tokens_of(found).join(_small(named), "v")).select("p", "l1", "v", F.col("new").alias("kind")).distinct()
-        pairs = durable(pairs.union(seen))
-        wider = durable(_frontier(pairs).join(frontier, ["p", "l1"], "left_anti"))
-        if not wider.isEmpty():
-            frontier = durable(frontier.union(wider))
-            names = instances.select("v", F.col("k").alias("new"))
-            more = look(wider).join(names, "v", "left").select("p", "l1", "v", F.coalesce("kind", "new").alias("kind"))
-            graph = graph.union(more)
-        graph = durable(graph)
+        graph.learn(new)
+        graph.widen(instances)
     if instances is None:
-        instances = graph.limit(0).select("v", F.col("kind").alias("k"))
+        instances = graph.rows.limit(0).select("v", F.col("kind").alias("k"))
     return patterns, instances
 
 
@@ -243,9 +299,7 @@ def discovered(found: DataFrame, rounds: int | None = None) -> DataFrame | None:
         return None
     texts = found.select("th", "t", "base")
     # of the tokens in confident patterns, those that aren't base spans anyway: instances, and seeds of secrets
-    words = _small(patterns.select("l1").distinct())
-    near = with_patterns(tokens_of(texts, "th").join(words, "l1", "left_semi"))
-    rows = near.join(_small(patterns.select("p", "k")), "p")
+    rows = with_patterns(_near(texts, patterns, "th")).join(_small(patterns.select("p", "k")), "p")
     known = instances.select("v", "k", F.lit(True).alias("learned"))
     rows = rows.join(_small(known), ["v", "k"], "left").where(F.col("learned") | ((F.col("k") == "secret") & F.col("v").rlike(SECRET)))
     hits = durable(rows.select("th", "i", "k").distinct())
