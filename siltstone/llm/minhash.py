@@ -12,7 +12,7 @@ the most keys with others, so the original among its variants. Buckets whose oth
 are done. In the others each member is written as its difference from the leader: two members differ from each other in
 at most |d1| + |d2| elements, less two for each element that d1 and d2 share. Two that aren't connected yet, of which
 one isn't linked to the leader, can therefore only be similar if they share more than half of the other's difference;
-so only pairs that share one of its rarer half are compared, and only members of different components meet. That is exact: every pair with a common key is compared,
+so only pairs that share one of its rarer half are compared, and only elements that two components have are looked at. That is exact: every pair with a common key is compared,
 connected, or ruled out by these counts, and no bucket is cut short. Hot buckets are spread: leaders and frequencies
 come from partial aggregates, members join them.
 
@@ -38,10 +38,6 @@ from siltstone.llm.components import connected_components
 ROWS, BANDS = 5, 40
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _U = np.uint64
-#: From so many members of a leader on, a component is kept from meeting itself; smaller ones cost less than that does.
-LARGE = 32
-#: Large components that are still broadcast.
-BROADCAST_ROWS = 100_000
 #: Elements times permutations evaluated at once.
 _CELLS = 1 << 20
 
@@ -210,11 +206,6 @@ def pairs_by_difference(family: DataFrame, percent: int) -> DataFrame:
     that, and similar a and b share more than (|delta b| + c (n2 - n of b)) / 2 elements of their differences, and at least
     (|delta a| + |delta b| - c (n of a + n of b)) / 2."""
     c = (100 - percent) / (100 + percent)
-    large = family.groupBy("leader", "component").agg(F.count("*").alias("m")).where(F.col("m") >= LARGE)
-    large = durable(large.select("leader", "component", F.lit(True).alias("large")))
-    n_large = large.count()
-    large = F.broadcast(large) if n_large <= BROADCAST_ROWS else large  # so that differences aren't shuffled for it
-    family = family.join(large, ["leader", "component"], "left").withColumn("large", F.coalesce("large", F.lit(False)))
     elements = family.withColumn("d", F.size("delta")).withColumn("e", F.explode("delta")).drop("delta")
     # an element that only one component has links nothing new
     mixed = (F.min("component") != F.max("component")).alias("mixed")
@@ -224,18 +215,14 @@ def pairs_by_difference(family: DataFrame, percent: int) -> DataFrame:
     shared = F.floor((F.col("d") + c * (F.col("n2") - F.col("n"))) / 2 - 1e-9)
     ranked = counted.withColumn("k", F.row_number().over(order)).where("mixed")
     rare = ranked.where(F.col("k") <= F.col("d") - shared)
-    rare = rare.select("leader", "e", "large", *[F.col(x).alias(x[0] + "b") for x in ("node", "component", "k", "d")], F.col("n").alias("sb"))
+    rare = rare.select("leader", "e", *[F.col(x).alias(x[0] + "b") for x in ("node", "component", "k", "d")], F.col("n").alias("sb"))
     apart = ranked.where(F.col("d") > c * (F.col("n") + F.col("n2")) - 1e-9)
     apart = apart.select("leader", "e", *[F.col(x).alias(x[0] + "a") for x in ("node", "component", "k", "d")], F.col("n").alias("sa"))
     close = F.least("sa", "sb") * 100 >= F.greatest("sa", "sb") * percent
     # of the elements that these two must share, the rarest is among the first of either that leave room for the others
     least_shared = F.ceil((F.col("da") + F.col("db") - c * (F.col("sa") + F.col("sb"))) / 2 - 1e-9)
     early = (F.col("ka") <= F.col("da") - least_shared + 1) & (F.col("kb") <= F.col("db") - least_shared + 1)
-    found = apart.join(rare.where("not large"), ["leader", "e"]).where("ca <> cb").where(close & early)
-    if n_large:  # rows of apart are first joined with the large components, so that none meets its own one's members
-        rows = rare.where("large")
-        across = apart.join(rows.select("leader", "e", "cb").distinct(), ["leader", "e"]).where("ca <> cb")
-        found = found.unionByName(across.join(rows, ["leader", "e", "cb"]).where(close & early))
+    found = apart.join(rare, ["leader", "e"]).where("ca <> cb").where(close & early)
     found = found.select(F.col("na").alias("a"), F.col("nb").alias("b"))
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
