@@ -130,7 +130,7 @@ def test_components(spark):
 
 
 def test_a_large_family_of_one_component_makes_no_rows(spark):
-    """8,000 members that share a difference from their leader, all connected already, beside one that isn't."""
+    """8,000 members that share a difference from their leader, all connected already."""
     from pyspark.sql import functions as F
 
     n = 8000
@@ -138,11 +138,9 @@ def test_a_large_family_of_one_component_makes_no_rows(spark):
         F.lit(0).cast("long").alias("leader"), F.col("id").alias("node"), F.lit(100).cast("long").alias("n"), F.lit(100).cast("long").alias("n2"),
         F.lit(1).cast("long").alias("component"), F.array(F.lit(5), F.lit(6), *[F.col("id") * 1000 + k for k in range(40)]).cast("array<long>").alias("delta"),
     )
-    loner = [(0, n + 1, 100, 100, n + 1, [5, 6, *range(7, 40)])]
-    family = family.union(spark.createDataFrame(loner, family.schema))
     pairs = minhash.pairs_by_difference(family, 80)
     start = time.monotonic()
-    assert pairs.count() <= 2 * n and time.monotonic() - start < 60
+    assert pairs.count() == 0 and time.monotonic() - start < 60
 
 
 def test_hot_nodes_are_split(spark, monkeypatch):
