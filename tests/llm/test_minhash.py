@@ -143,11 +143,7 @@ def test_a_large_family_of_one_component_makes_no_rows(spark):
     assert pairs.count() == 0 and time.monotonic() - start < 60
 
 
-def test_hot_nodes_are_split(spark, monkeypatch):
-    from siltstone.llm import components
-
-    monkeypatch.setattr(components, "HOT_EDGES", 20)
-    monkeypatch.setattr(components, "HOT_SHARE", 10)
+def test_components_of_hot_nodes(spark):
     edges = [(0, i) for i in range(1, 400)] + [(i, i + 1000) for i in range(1, 400)] + [(5000, 5001)] + [(i, 399) for i in range(380, 399)]
     got = dict(map(tuple, connected_components(spark.createDataFrame(edges, "a long, b long")).collect()))
     assert {n for n, c in got.items() if c == 0} == set(range(400)) | {i + 1000 for i in range(1, 400)} and got[5001] == 5000
