@@ -1,4 +1,4 @@
-from siltstone.plans.queries import QUERIES
+from siltstone.plans.queries import QUERIES, SQL
 from siltstone.plans.presorted import read_presorted, save_presorted
 from siltstone.session import table
 
@@ -29,3 +29,21 @@ def test_partitions_are_left_out(spark, sf_dir):
         df = QUERIES[name](spark, sf_dir)
         df.collect()
         assert df._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 2, name
+
+
+def test_copies_beside_files_that_no_catalog_knows(spark, sf_dir):
+    """A session that is gone leaves its copies in the warehouse, whole or not."""
+    for name, source, key in (("group_presorted", "lineitem", "l_orderkey"), ("join_merge_sorted", "orders", "o_orderkey")):
+        QUERIES[name](spark, sf_dir)
+        for copy in [t.name for t in spark.catalog.listTables() if t.name.startswith(f"presorted_{source}_")]:
+            spark.sql(f"DROP TABLE `{copy}`")
+            left = f"{spark.conf.get('spark.sql.warehouse.dir')}/{copy}"
+            spark.range(5).withColumnRenamed("id", key).write.mode("overwrite").parquet(left)
+    got = sorted(map(tuple, QUERIES["group_presorted"](spark, sf_dir).collect()))
+    lines = table(spark, sf_dir, "lineitem")
+    lines.createOrReplaceTempView("lineitem")
+    assert got == sorted(map(tuple, spark.sql(SQL["group_presorted"]).collect())) and len(got) > 5
+    table(spark, sf_dir, "orders").createOrReplaceTempView("orders")
+    got = sorted(map(tuple, QUERIES["join_merge_sorted"](spark, sf_dir).collect()))
+    assert got == sorted(map(tuple, spark.sql(SQL["join_merge_sorted"]).collect())) and got
+    assert spark.read.parquet(left).count() == 5
