@@ -13,9 +13,11 @@ spans of its kind. Base spans always stay.
 The graph holds only what can matter: patterns with enough known instances are the frontier, and all that follows one of
 them anywhere is gathered by a pass over the texts, so that a share counts every word there. New instances widen the
 frontier by a second pass. Before a pass over all texts, what follows a pattern in a 64th of them rules out those whose
-share can't be reached any more, which are most of those that have their instances by chance. Everything is built from DataFrame functions. Only distinct (pattern, token) pairs of the
-frontier and few columns a document are shuffled, never texts; they are aggregated partially first, so a pattern that a
-third of all tokens follow is one row to the rest of the plan. Places are worked out for texts with hits alone.
+share can't be reached any more, which are most of those that have their instances by chance. A pass finds tokens by
+whole patterns, never by one word of them, so what it makes are the instances of the patterns looked for. Everything is
+built from DataFrame functions. Only distinct (pattern, token) pairs of the frontier and few columns a document are
+shuffled, never texts; they are aggregated partially first, so a pattern that a third of all tokens follow is one row to
+the rest of the plan. Places are worked out for texts with hits alone.
 
 The expressions are written so that they take linear time on any text: no run is entered twice and no repeated group
 recurses. They match what the plain forms in the comments match.
@@ -63,10 +65,14 @@ LEAST_SUPPORT, LEAST_SCORE = 3, 0.7
 LOOSE_SUPPORT, LOOSE_MORE = 5, 3
 #: Rows of patterns or instances that are still broadcast.
 BROADCAST_ROWS = 100_000
+#: Hashes of patterns that are.
+BROADCAST_HASHES = 1_000_000
 #: Patterns are first tried on one text in so many; that only rules out, it never accepts.
 PARTS = 64
 #: So few words are first looked for in whole texts.
 FEW_WORDS = 32
+#: So many are looked up before a token's patterns are made.
+MANY_WORDS = 5_000
 MATCHES = "array<struct<s:long,e:long,v:string>>"
 SPAN = "struct<kind:string,start:long,end:long>"
 
@@ -160,7 +166,7 @@ def with_patterns(rows: DataFrame) -> DataFrame:
         F.when((l1 != "") & (r1 != ""), F.concat(F.lit("r "), l1, F.lit(" "), r1)),
         F.when((l1 != "") & v.rlike("[0-9@]"), F.concat(F.lit("s "), l1, F.lit(" "), shape)),
     )
-    return rows.withColumn("p", F.explode(F.filter(found, lambda x: x.isNotNull())))
+    return rows.withColumn("p", F.explode(found)).where("p is not null")
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -168,22 +174,30 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def _near(texts: DataFrame, patterns: DataFrame, *keep: str) -> DataFrame:
-    """Tokens of tokens_of() that may stand in patterns (p, l1, ...), by the token before; for words that only patterns
-    with a shape name, tokens that have one. Texts that hold none of few such words aren't taken apart."""
+def _standing(texts: DataFrame, patterns: DataFrame, *keep: str) -> DataFrame:
+    """Rows (keep, i, v, p) of with_patterns() for all tokens that stand in one of patterns (p, l1). Whole patterns are
+    looked up, first by a hash that fits a broadcast: a word may be common where a pattern with it is rare. Only to save
+    time, texts that hold none of few such words aren't taken apart, and tokens after none of many are left out before;
+    so are those without a shape after words that only patterns with a shape name."""
     shaped = F.startswith(F.col("p"), F.lit("s "))
-    words = durable(patterns.groupBy("l1").agg(F.min(shaped).alias("shaped")))
-    listed = words.select("l1").limit(FEW_WORDS + 1).collect()
+    listed = patterns.groupBy("l1").agg(F.min(shaped).alias("shaped")).limit(MANY_WORDS + 1).collect()
     if len(listed) <= FEW_WORDS:
         low = F.lower("t")
         texts = texts.where(functools.reduce(lambda a, b: a | b, [F.contains(low, F.lit(r[0])) for r in listed], F.lit(False)))
-    rows = tokens_of(texts, *keep).join(_small(words), "l1")
-    return rows.where(~F.col("shaped") | F.col("v").rlike("[0-9@]")).drop("shaped")
+    tokens = tokens_of(texts, *keep)
+    if len(listed) <= MANY_WORDS:
+        free, bound = ([r.l1 for r in listed if r.shaped == x] for x in (False, True))
+        tokens = tokens.where(F.col("l1").isin(free) | (F.col("l1").isin(bound) & F.col("v").rlike("[0-9@]")))
+    rows = with_patterns(tokens)
+    hashes = durable(patterns.select(F.xxhash64("p").alias("h")).distinct())
+    if hashes.count() <= BROADCAST_HASHES:
+        rows = rows.withColumn("h", F.xxhash64("p")).join(F.broadcast(hashes), "h", "left_semi")
+    return rows.select(*keep, "i", "v", "p")
 
 
 def _followers(texts: DataFrame, patterns: DataFrame) -> DataFrame:
     """Rows (p, l1, v) of all tokens that stand in one of patterns (p, l1)."""
-    return with_patterns(_near(texts, patterns)).select("p", "v").join(_small(patterns), "p").select("p", "l1", "v")
+    return _standing(texts, patterns).select("p", "v").join(_small(patterns), "p").select("p", "l1", "v")
 
 
 def _loose(p: Column) -> Column:
@@ -299,7 +313,7 @@ def discovered(found: DataFrame, rounds: int | None = None) -> DataFrame | None:
         return None
     texts = found.select("th", "t", "base")
     # of the tokens in confident patterns, those that aren't base spans anyway: instances, and seeds of secrets
-    rows = with_patterns(_near(texts, patterns, "th")).join(_small(patterns.select("p", "k")), "p")
+    rows = _standing(texts, patterns, "th").join(_small(patterns.select("p", "k")), "p")
     known = instances.select("v", "k", F.lit(True).alias("learned"))
     rows = rows.join(_small(known), ["v", "k"], "left").where(F.col("learned") | ((F.col("k") == "secret") & F.col("v").rlike(SECRET)))
     hits = durable(rows.select("th", "i", "k").distinct())

@@ -223,3 +223,31 @@ def test_unseen_forms_are_found_by_context(spark):
         assert got[i].spans == f"{kind}:{at}:{at + len(v)}" and got[i].n_added == 1 == got[i].n_spans, (v, got[i].spans)
     assert got[60].spans.startswith("secret:11:") and got[60].n_email == 0
     assert "[SECRET]" in {r.doc_id: r.text for r in pii.redact(df).collect()}[104]
+
+
+def test_a_common_word_in_a_rare_pattern_makes_no_rows(spark):
+    rows = [(i, f"zork the user{i}@mail.example.com now") for i in range(4)] + [(10 + i, "see the cat and the dog by the sea " * 50) for i in range(20)]
+    found = pii.scan(*(lambda df: (df, df.text, df.doc_id))(spark.createDataFrame(rows, "doc_id long, text string")))
+    patterns = spark.createDataFrame([("2 zork the", "the")], "p string, l1 string")
+    df = pii._followers(found, patterns)
+    assert sorted(r.v for r in df.collect()) == [f"user{i}@mail.example.com" for i in range(4)]
+
+    def joined(node):
+        under = [node.executedPlan()] if node.nodeName() == "AdaptiveSparkPlan" else [node.plan()] if "QueryStage" in node.nodeName() else []
+        children = node.children()
+        under += [children.apply(i) for i in range(children.size())]
+        own = [node.metrics().apply("numOutputRows").value()] if "Join" in node.nodeName() else []
+        return own + [n for x in under for n in joined(x)]
+
+    assert (made := joined(df._jdf.queryExecution().executedPlan())) and max(made) == 4, made
+
+
+def test_more_words_and_patterns_than_are_looked_up_at_once(spark, monkeypatch):
+    rows = [(i, f"zork the user{i}@mail.example.com now, and the 12 cats") for i in range(4)]
+    found = pii.scan(*(lambda df: (df, df.text, df.doc_id))(spark.createDataFrame(rows, "doc_id long, text string")))
+    patterns = spark.createDataFrame([("2 zork the", "the"), ("s the 99", "the"), ("r now ,", "now")], "p string, l1 string")
+    want = sorted(map(tuple, pii._followers(found, patterns).collect()))
+    assert len(want) == 8
+    for name in ("FEW_WORDS", "MANY_WORDS", "BROADCAST_HASHES", "BROADCAST_ROWS"):
+        monkeypatch.setattr(pii, name, 0)
+        assert sorted(map(tuple, pii._followers(found, patterns).collect())) == want, name
