@@ -14,10 +14,10 @@ The graph holds only what can matter: patterns with enough known instances are t
 them anywhere is gathered by a pass over the texts, so that a share counts every word there. New instances widen the
 frontier by a second pass. Before a pass over all texts, what follows a pattern in a 64th of them rules out those whose
 share can't be reached any more, which are most of those that have their instances by chance. A pass finds tokens by
-whole patterns, never by one word of them, so what it makes are the instances of the patterns looked for. Everything is
-built from DataFrame functions. Only distinct (pattern, token) pairs of the frontier and few columns a document are
-shuffled, never texts; they are aggregated partially first, so a pattern that a third of all tokens follow is one row to
-the rest of the plan. Places are worked out for texts with hits alone.
+whole patterns, never by one word of them, and before any becomes a row, so what it makes are the instances of the
+patterns looked for. Everything is built from DataFrame functions. Only distinct (pattern, token) pairs of the frontier
+and few columns a document are shuffled, never texts; they are aggregated partially first, so a pattern that a third of
+all tokens follow is one row to the rest of the plan. Places are worked out for texts with hits alone.
 
 The expressions are written so that they take linear time on any text: no run is entered twice and no repeated group
 recurses. They match what the plain forms in the comments match.
@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import functools
 import itertools
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -65,8 +66,8 @@ LEAST_SUPPORT, LEAST_SCORE = 3, 0.7
 LOOSE_SUPPORT, LOOSE_MORE = 5, 3
 #: Rows of patterns or instances that are still broadcast.
 BROADCAST_ROWS = 100_000
-#: Hashes of patterns that are.
-BROADCAST_HASHES = 1_000_000
+#: Hashes of patterns up to which the bits that tokens are checked with grow, and how many bits a hash there are.
+BROADCAST_HASHES, BITS = 1_000_000, 64
 #: Patterns are first tried on one text in so many; that only rules out, it never accepts.
 PARTS = 64
 #: So few words are first looked for in whole texts.
@@ -157,16 +158,38 @@ def tokens_of(texts: DataFrame, *keep: str, only=None) -> DataFrame:
     return flat.select(*keep, "i", *[F.lower(f"x.{c}").alias(c) for c in ("l2", "l1")], "x.v", F.lower("x.r1").alias("r1"))
 
 
-def with_patterns(rows: DataFrame) -> DataFrame:
-    """One row for each pattern `p` that a token stands in, which starts with its sort."""
+def with_patterns(rows: DataFrame, may: Callable[[Column], Column] | None = None) -> DataFrame:
+    """One row for each pattern `p` that a token stands in, which starts with its sort. `may` picks some of them by their
+    hashes; the others never become rows."""
     l2, l1, v, r1 = (F.col(c) for c in ("l2", "l1", "v", "r1"))
     shape = F.regexp_replace(F.regexp_replace(v, "[0-9]", "9"), r"\p{L}", "a")
-    found = F.array(
+    found = [
         F.when(l2 != "", F.concat(F.lit("2 "), l2, F.lit(" "), l1)),
         F.when((l1 != "") & (r1 != ""), F.concat(F.lit("r "), l1, F.lit(" "), r1)),
         F.when((l1 != "") & v.rlike("[0-9@]"), F.concat(F.lit("s "), l1, F.lit(" "), shape)),
-    )
-    return rows.withColumn("p", F.explode(found)).where("p is not null")
+    ]
+    if may is not None:
+        # columns first: written out at each use, they make methods too long to be compiled
+        rows = rows.select("*", *[p.alias(f"p{i}") for i, p in enumerate(found)])
+        rows = rows.select("*", *[F.xxhash64(f"p{i}").alias(f"h{i}") for i in range(len(found))])
+        found = [F.when(may(F.col(f"h{i}")), F.col(f"p{i}")) for i in range(len(found))]
+    return rows.withColumn("p", F.explode(F.array_compact(F.array(*found))))
+
+
+def _may_be_among(patterns: DataFrame) -> Callable[[Column], Column]:
+    """Whether the hash of a pattern may be that of one of patterns (p): all of theirs pass, and hardly any others. Two
+    places in one array of bits are looked up, so it takes no join, and no row for what isn't there."""
+    spark, hashes = patterns.sparkSession, durable(patterns.select(F.xxhash64("p").alias("h")).distinct())
+    size = 1 << max(12, (BITS * min(hashes.count(), BROADCAST_HASHES)).bit_length())
+    places = lambda h: [F.pmod(x, F.lit(size)) for x in (h, F.shiftrightunsigned(h, 32))]
+    bit = lambda i: F.pmod(i, F.lit(64)).cast("int")
+    word = lambda i: F.shiftright(i, 6)
+    at = hashes.select(F.explode(F.array(*places(F.col("h")))).alias("i"))
+    at = at.select(word("i").alias("id"), bit(F.col("i")).alias("n")).groupBy("id").agg(F.expr("bit_or(shiftleft(1L, n))").alias("bits"))
+    filled = spark.range(size >> 6).join(at, "id", "left").select("id", F.coalesce("bits", F.lit(0).cast("long")).alias("bits"))
+    row = filled.agg(F.sort_array(F.collect_list(F.struct("id", "bits"))).alias("x")).select(F.col("x.bits").alias("x"))
+    bits = durable(row).scalar()
+    return lambda h: functools.reduce(lambda a, b: a & b, [F.getbit(F.get(bits, word(i).cast("int")), bit(i)) == 1 for i in places(h)])
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -176,9 +199,10 @@ def _small(df: DataFrame) -> DataFrame:
 
 def _standing(texts: DataFrame, patterns: DataFrame, *keep: str) -> DataFrame:
     """Rows (keep, i, v, p) of with_patterns() for all tokens that stand in one of patterns (p, l1). Whole patterns are
-    looked up, first by a hash that fits a broadcast: a word may be common where a pattern with it is rare. Only to save
-    time, texts that hold none of few such words aren't taken apart, and tokens after none of many are left out before;
-    so are those without a shape after words that only patterns with a shape name."""
+    looked up by their hashes before they become rows: a word may be common where a pattern with it is rare, and with
+    enough patterns all words are named. A few rows of other patterns are left, for a join by p. Only to save time, texts
+    that hold none of few such words aren't taken apart, and tokens after none of many are left out before; so are those
+    without a shape after words that only patterns with a shape name."""
     shaped = F.startswith(F.col("p"), F.lit("s "))
     listed = patterns.groupBy("l1").agg(F.min(shaped).alias("shaped")).limit(MANY_WORDS + 1).collect()
     if len(listed) <= FEW_WORDS:
@@ -188,11 +212,7 @@ def _standing(texts: DataFrame, patterns: DataFrame, *keep: str) -> DataFrame:
     if len(listed) <= MANY_WORDS:
         free, bound = ([r.l1 for r in listed if r.shaped == x] for x in (False, True))
         tokens = tokens.where(F.col("l1").isin(free) | (F.col("l1").isin(bound) & F.col("v").rlike("[0-9@]")))
-    rows = with_patterns(tokens)
-    hashes = durable(patterns.select(F.xxhash64("p").alias("h")).distinct())
-    if hashes.count() <= BROADCAST_HASHES:
-        rows = rows.withColumn("h", F.xxhash64("p")).join(F.broadcast(hashes), "h", "left_semi")
-    return rows.select(*keep, "i", "v", "p")
+    return with_patterns(tokens, _may_be_among(patterns)).select(*keep, "i", "v", "p")
 
 
 def _followers(texts: DataFrame, patterns: DataFrame) -> DataFrame:

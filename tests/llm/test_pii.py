@@ -251,3 +251,31 @@ def test_more_words_and_patterns_than_are_looked_up_at_once(spark, monkeypatch):
     for name in ("FEW_WORDS", "MANY_WORDS", "BROADCAST_HASHES", "BROADCAST_ROWS"):
         monkeypatch.setattr(pii, name, 0)
         assert sorted(map(tuple, pii._followers(found, patterns).collect())) == want, name
+
+
+def test_tokens_in_no_pattern_looked_for_never_become_rows(spark):
+    rows = [(i, f"zork the user{i}@mail.example.com now") for i in range(4)] + [(10 + i, "see the cat and the dog by the sea " * 50) for i in range(20)]
+    found = pii.scan(*(lambda df: (df, df.text, df.doc_id))(spark.createDataFrame(rows, "doc_id long, text string")))
+    df = pii._followers(found, spark.createDataFrame([("2 zork the", "the")], "p string, l1 string"))
+    assert sorted(r.v for r in df.collect()) == [f"user{i}@mail.example.com" for i in range(4)]
+
+    def generated(node):
+        under = [node.executedPlan()] if node.nodeName() == "AdaptiveSparkPlan" else [node.plan()] if "QueryStage" in node.nodeName() else []
+        children = node.children()
+        under += [children.apply(i) for i in range(children.size())]
+        own = [node.metrics().apply("numOutputRows").value()] if node.nodeName() == "Generate" else []
+        return own + [n for x in under for n in generated(x)]
+
+    # patterns, and below them all tokens
+    assert generated(df._jdf.queryExecution().executedPlan()) == [4, 9016]
+
+
+def test_no_pattern_is_lost_where_bits_are_few(spark, monkeypatch):
+    rows = [(i, f"a{i} b{i} c{i} d{i}") for i in range(3000)]
+    found = pii.scan(*(lambda df: (df, df.text, df.doc_id))(spark.createDataFrame(rows, "doc_id long, text string")))
+    patterns = spark.createDataFrame([(f"2 a{i} b{i}", f"b{i}") for i in range(0, 3000, 2)], "p string, l1 string")
+    want = {f"c{i}" for i in range(0, 3000, 2)}
+    assert {r.v for r in pii._followers(found, patterns).collect()} == want
+    monkeypatch.setattr(pii, "BITS", 0)
+    assert {r.v for r in pii._followers(found, patterns).collect()} == want
+    assert pii._followers(found, patterns.limit(0)).collect() == []
