@@ -12,12 +12,13 @@ spans of its kind. Base spans always stay.
 
 The graph holds only what can matter: patterns with enough known instances are the frontier, and all that follows one of
 them anywhere is gathered by a pass over the texts, so that a share counts every word there. New instances widen the
-frontier by a second pass. Before a pass over all texts, what follows a pattern in a 64th of them rules out those whose
-share can't be reached any more, which are most of those that have their instances by chance. A pass finds tokens by
-whole patterns, never by one word of them, and before any becomes a row, so what it makes are the instances of the
-patterns looked for. Everything is built from DataFrame functions. Only distinct (pattern, token) pairs of the frontier
-and few columns a document are shuffled, never texts; they are aggregated partially first, so a pattern that a third of
-all tokens follow is one row to the rest of the plan. Places are worked out for texts with hits alone.
+frontier by a second pass. Before a pass over all texts, what follows a pattern in a 4096th and then a 64th of them
+rules out those whose share can't be reached any more, which are most of those that have their instances by chance. A
+pass finds tokens by whole patterns, never by one word of them, and before any becomes a row, so what it makes are the
+instances of the patterns looked for. Everything is built from DataFrame functions. Only distinct (pattern, token)
+pairs of the frontier and few columns a document are shuffled, never texts; they are aggregated partially first, so a
+pattern that a third of all tokens follow is one row to the rest of the plan. Places are worked out for texts with hits
+alone.
 
 The expressions are written so that they take linear time on any text: no run is entered twice and no repeated group
 recurses. They match what the plain forms in the comments match.
@@ -68,8 +69,8 @@ LOOSE_SUPPORT, LOOSE_MORE = 5, 3
 BROADCAST_ROWS = 100_000
 #: Hashes of patterns up to which the bits that tokens are checked with grow, and how many bits a hash there are.
 BROADCAST_HASHES, BITS = 1_000_000, 64
-#: Patterns are first tried on one text in so many; that only rules out, it never accepts.
-PARTS = 64
+#: Patterns are first tried on one text in so many, one after the other; that only rules out, it never accepts.
+PARTS = (4096, 64)
 #: So few words are first looked for in whole texts.
 FEW_WORDS = 32
 #: So many are looked up before a token's patterns are made.
@@ -265,22 +266,25 @@ class _Graph:
         self.found = found
         seeds = tokens_of(found, only=lambda v: v.rlike("[0-9@]")).withColumn("kind", seed_kind(F.col("v"))).where("kind is not null")
         self.pairs = durable(with_patterns(seeds).select("p", "l1", "v", "kind").distinct())
-        self.tested = self.looked = self.rows = None
+        self.tested: dict[int, DataFrame] = {}
+        self.looked = self.rows = None
 
     def widen(self, instances: DataFrame | None) -> None:
         """Gather the followers of patterns that have enough known instances by now."""
-        frontier = durable(_frontier(self.pairs))
+        able = durable(_frontier(self.pairs))
         # what follows a pattern in a part of the texts alone may be too much already
-        untested = frontier if self.tested is None else frontier.join(self.tested, "p", "left_anti")
-        untested = durable(untested.select("p", "l1"))
-        if not untested.isEmpty():
-            part = self.found.where(F.pmod(F.xxhash64("t"), F.lit(PARTS)) == 0)
-            counts = _followers(part, untested).distinct().groupBy("p").agg(F.count("*").alias("n"))
-            counts = untested.select("p").join(counts, "p", "left").select("p", F.coalesce("n", F.lit(0)).alias("n"))
-            self.tested = durable(counts if self.tested is None else self.tested.union(counts))
-        if self.tested is None:
-            return
-        able = frontier.join(self.tested, "p").where(_possible(F.col("n"))).select("p", "l1")
+        for parts in PARTS:
+            tested = self.tested.get(parts)
+            untested = durable((able if tested is None else able.join(tested, "p", "left_anti")).select("p", "l1"))
+            if not untested.isEmpty():
+                part = self.found.where(F.pmod(F.xxhash64("t"), F.lit(parts)) == 0)
+                counts = _followers(part, untested).distinct().groupBy("p").agg(F.count("*").alias("n"))
+                counts = untested.select("p").join(counts, "p", "left").select("p", F.coalesce("n", F.lit(0)).alias("n"))
+                tested = self.tested[parts] = durable(counts if tested is None else tested.union(counts))
+            if tested is None:
+                return
+            able = durable(able.join(tested, "p").where(_possible(F.col("n"))).select("p", "l1", "known"))
+        able = able.select("p", "l1")
         able = durable(able if self.looked is None else able.join(self.looked, "p", "left_anti"))
         if able.isEmpty():
             return

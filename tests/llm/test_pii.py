@@ -279,3 +279,16 @@ def test_no_pattern_is_lost_where_bits_are_few(spark, monkeypatch):
     monkeypatch.setattr(pii, "BITS", 0)
     assert {r.v for r in pii._followers(found, patterns).collect()} == want
     assert pii._followers(found, patterns.limit(0)).collect() == []
+
+
+def test_common_patterns_are_ruled_out_on_the_smallest_part(spark, monkeypatch):
+    rows = [(i, f"of the user{i}@mail.example.com and zork by user{i}@mail.example.com end") for i in range(40)]
+    rows += [(100 + i, f"zork by handle-{i} end") for i in range(4)] + [(200 + i, f"part of the word{i} here") for i in range(300)]
+    found = pii.scan(*(lambda df: (df, df.text, df.doc_id))(spark.createDataFrame(rows, "doc_id long, text string")))
+    calls, followers = [], pii._followers
+    monkeypatch.setattr(pii, "PARTS", (4, 2))
+    monkeypatch.setattr(pii, "_followers", lambda texts, patterns: calls.append({r.p for r in patterns.collect()}) or followers(texts, patterns))
+    learned = {r.v for r in pii.bootstrap(found)[1].collect()}
+    assert learned == {f"handle-{i}" for i in range(4)}
+    assert "2 of the" in calls[0] and "2 zork by" in calls[0]
+    assert not any("2 of the" in x for x in calls[1:]) and all(any("2 zork by" in x for x in calls[k:k + 1]) for k in (1, 2))
